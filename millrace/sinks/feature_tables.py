@@ -142,7 +142,13 @@ def replace_partitions(df: DataFrame, name: str, check: bool = True) -> None:
         staged = _write_data(df, f"{name}_stage", keys, partition_by, check)
         df = spark.table(staged)
     rows = df.select(*ordered).hint("rebalance", *partition_by)
-    rows.write.option("partitionOverwriteMode", "dynamic").insertInto(target, overwrite=True)
+    # insertInto takes the mode from the session, not from a write option.
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        rows.write.insertInto(target, overwrite=True)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
     spark.sql(f"REFRESH TABLE {target}")
     if staged:
         spark.sql(f"DROP TABLE {staged}")

@@ -1,6 +1,6 @@
 """A keyed table kept as parquet folders, one per version.
 
-``<root>/v=<n>/`` holds the partitions version n wrote, and Spark's ``_SUCCESS`` file in
+``<root>/_snapshot=<n>/`` holds the partitions version n wrote, and Spark's ``_SUCCESS`` file in
 it says that the write finished. A version replaces only the partitions it contains; the
 current table is, for each partition, the newest finished version that has it. A merge
 therefore reads and rewrites only the partitions its changes fall into, never a folder the
@@ -20,11 +20,18 @@ from pyspark.sql import types as T
 from millrace.operators.latest import DELETED, latest_by_key
 from millrace.sources.exists import child_names, path_exists, remove
 
+# Folder names look like a partition, so that one scan can take folders of several versions.
+PREFIX = "_snapshot="
+
+
+def _folder(root: str, version: int) -> str:
+    return f"{root}/{PREFIX}{version}"
+
 
 def versions(spark: SparkSession, root: str) -> list[int]:
     """Finished versions, oldest first."""
-    found = sorted(int(n[2:]) for n in child_names(spark, root) if n.startswith("v="))
-    return [v for v in found if path_exists(spark, f"{root}/v={v}/_SUCCESS")]
+    found = sorted(int(n.removeprefix(PREFIX)) for n in child_names(spark, root) if n.startswith(PREFIX))
+    return [v for v in found if path_exists(spark, f"{_folder(root, v)}/_SUCCESS")]
 
 
 def _partition_folders(spark: SparkSession, folder: str, depth: int) -> list[str]:
@@ -45,7 +52,7 @@ def _current_folders(spark: SparkSession, root: str, depth: int, below: int | No
     current = {}
     for v in versions(spark, root):
         if below is None or v < below:
-            for folder in _partition_folders(spark, f"{root}/v={v}", depth):
+            for folder in _partition_folders(spark, _folder(root, v), depth):
                 current[folder] = v
     return current
 
@@ -65,10 +72,12 @@ def read_snapshot(
     """
     current = _current_folders(spark, root, len(partition_by), below)
     wanted = current if only is None else {f: current[f] for f in only if f in current}
-    stored = schema if DELETED in schema.names else schema.add(DELETED, T.BooleanType())
+    stored = T.StructType(list(schema.fields))
+    if DELETED not in stored.names:
+        stored.add(DELETED, T.BooleanType())
     by_version: dict[int, list[str]] = {}
     for folder, v in wanted.items():
-        by_version.setdefault(v, []).append(f"{root}/v={v}{folder}")
+        by_version.setdefault(v, []).append(f"{_folder(root, v)}{folder}")
     if not by_version:
         rows = spark.createDataFrame([], stored)
     else:
@@ -87,7 +96,7 @@ def write_version(df: DataFrame, root: str, version: int, partition_by: Sequence
         # Brings the rows of a partition value together, but splits a large one.
         df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{root}/v={version}")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(_folder(root, version))
 
 
 def touched_partitions(changes: DataFrame, partition_by: Sequence[str]) -> list[str]:
@@ -132,7 +141,7 @@ def merge_changes(
     current = read_snapshot(
         spark, root, newest.schema, partition_by, below=version, only=touched, keep_deleted=True
     )
-    merged = latest_by_key(current.unionByName(newest), keys, order)
+    merged = latest_by_key(current.unionByName(newest), keys, order, keep_deleted=True)
     write_version(merged, root, version, partition_by)
 
 
@@ -142,5 +151,5 @@ def expire(spark: SparkSession, root: str, partition_by: Sequence[str] = (), kee
     in_use = set(_current_folders(spark, root, len(partition_by), None).values())
     old = [v for v in finished[:-keep] if v not in in_use]
     for v in old:
-        remove(spark, f"{root}/v={v}")
+        remove(spark, _folder(root, v))
     return old
