@@ -19,22 +19,25 @@ def _exact_pvalue_udf():
 
         def one(a, b, h):
             # The merged sample is a random lattice path from (0, 0) to (a, b). Walk its
-            # anti-diagonals, and add up the mass that first reaches a gap of h or more.
+            # anti-diagonals k = i + j, keep the mass of the paths whose gap |i*b - j*a| has
+            # stayed below h, and add up the mass that first reaches h. On a diagonal the
+            # gap is |i*(a + b) - k*a|, so only i from low to high can be below h.
             total = a + b
-            i = np.arange(a + 1, dtype=np.int64)
-            inside = np.zeros(a + 1)
-            inside[0] = 1.0
-            outside = 0.0
+            low, inside, outside = 0, np.ones(1), 0.0
             for k in range(1, total + 1):
                 left = total - k + 1
-                j = k - i
-                up = inside * np.clip(b - j + 1, 0, None) / left
-                right = np.zeros(a + 1)
-                right[1:] = inside[:-1] * (a - i[1:] + 1) / left
-                inside = np.where((j >= 0) & (j <= b), up + right, 0.0)
-                out = np.abs(i * b - j * a) >= h
-                outside += inside[out].sum()
-                inside[out] = 0.0
+                i = low + np.arange(len(inside))
+                step = np.zeros(len(inside) + 1)
+                step[:-1] = inside * (b - (k - 1 - i)) / left
+                step[1:] += inside * (a - i) / left
+                first = max(0, k - b, (k * a - h) // total + 1)
+                last = min(a, k, -((-k * a - h) // total) - 1)
+                kept = slice(max(first - low, 0), max(last - low + 1, 0))
+                outside += step[: kept.start].sum() + step[kept.stop :].sum()
+                inside = step[kept]
+                low += kept.start
+                if not len(inside):
+                    break
             return min(outside, 1.0)
 
         values = [
