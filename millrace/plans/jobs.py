@@ -75,6 +75,7 @@ def run_medallion(
         partition_by=_history_partition(settings),
         drop=[RESCUED],
     )
+    snapshots.expire(spark, settings.silver, _history_partition(settings), settings.keep_versions)
     return quality.observed_counts(progress, settings.rules)
 
 

@@ -18,8 +18,8 @@ def publish_jdbc(
     transaction: where readers must not see a partly filled table, write to a staging table
     and swap the names in the database.
     """
-    writer = df.coalesce(connections).write.mode(mode).option("truncate", "true").options(**(options or {}))
-    writer.jdbc(url, table)
+    writer = df.write.mode(mode).option("truncate", "true").option("numPartitions", connections)
+    writer.options(**(options or {})).jdbc(url, table)
 
 
 def publish_snapshot(df: DataFrame, root: str, keep: int = 2) -> int:
