@@ -20,7 +20,8 @@ from millrace.schema import (
     PREDICTION_DATE,
     TARGET,
 )
-from millrace.workspace import cut_lineage
+from millrace.sources.exists import remove
+from millrace.workspace import stored
 
 
 def encoder(columns: list[str] = CATEGORICAL) -> list:
@@ -44,32 +45,29 @@ def one_hot(fitted_on: DataFrame, df: DataFrame, columns: list[str] = CATEGORICA
     return model.transform(df).drop(*[f"{c}_index" for c in columns])
 
 
-def fit(
-    features: DataFrame, parameters: dict | None = None, features_cut: bool = False
-) -> tuple[PipelineModel, int]:
+def fit(features: DataFrame, parameters: dict | None = None) -> tuple[PipelineModel, int]:
     """Fit on complete rows; returns the model and the number of rows used.
 
     ``C`` weighs the summed loss against the penalty, Spark weighs the mean loss, hence
     regParam = 1 / (C * n) without feature scaling. The customer is never a feature. The
-    feature rows are cut from their lineage once (unless ``features_cut`` says they are a
-    stored table), because index, count and every optimizer step pass over them.
+    feature rows are stored for the time of the fit, because category index, count and
+    optimizer all pass over them.
     """
     p = {**HYPERPARAMETERS, **(parameters or {})}
     if p["penalty"] != "l2":
         raise ValueError("only the L2 penalty is supported")
-    rows = features.select(*CATEGORICAL, *NUMERICAL, TARGET).dropna(subset=[*NUMERICAL, TARGET])
-    if not features_cut:
-        rows = cut_lineage(rows)
-    n = rows.count()
-    if n == 0:
-        raise ValueError("no complete rows to fit on")
-    stages = encoder() + [
-        VectorAssembler(
+    complete = features.select(*CATEGORICAL, *NUMERICAL, TARGET).dropna(subset=[*NUMERICAL, TARGET])
+    rows, path = stored(complete, "fit")
+    try:
+        n = rows.count()
+        if n == 0:
+            raise ValueError("no complete rows to fit on")
+        assembler = VectorAssembler(
             inputCols=[*[f"{c}_hot" for c in CATEGORICAL], *NUMERICAL],
             outputCol="features",
             handleInvalid="keep",
-        ),
-        LogisticRegression(
+        )
+        regression = LogisticRegression(
             featuresCol="features",
             labelCol=TARGET,
             predictionCol=PREDICTION,
@@ -80,9 +78,10 @@ def fit(
             maxIter=p["max_iter"],
             tol=p["tol"],
             family="binomial",
-        ),
-    ]
-    return Pipeline(stages=stages).fit(rows), n
+        )
+        return Pipeline(stages=[*encoder(), assembler, regression]).fit(rows), n
+    finally:
+        remove(features.sparkSession, path)
 
 
 def feature_names(model: PipelineModel) -> list[str]:

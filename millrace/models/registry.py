@@ -77,6 +77,11 @@ class Registry:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(path)
 
+    def _append(self, table: str, schema: str, row: tuple) -> None:
+        named = zip(row, (c.split() for c in schema.split(", ")))
+        columns = [F.lit(v).cast(kind).alias(name) for v, (name, kind) in named]
+        append_rows(self.spark.range(0, 1, 1, 1).select(*columns), f"{self.root}/{table}")
+
     def versions(self) -> DataFrame:
         return self._read("versions", VERSIONS)
 
@@ -119,7 +124,7 @@ class Registry:
             name, version, run_name, user, json.dumps(parameters or {}, sort_keys=True),
             json.dumps({"run_name": run_name, **(tags or {})}, sort_keys=True), signature, path, now,
         )
-        append_rows(self.spark.createDataFrame([row], VERSIONS).coalesce(1), f"{self.root}/versions")
+        self._append("versions", VERSIONS, row)
         self.transition(name, version, stage, user, as_of)
         return version
 
@@ -132,7 +137,7 @@ class Registry:
         day = (as_of or now.date()).isoformat()
         description = f"Version {version} was moved to {stage} on {day} by {user}"
         row = (name, version, stage, seq, now, description)
-        append_rows(self.spark.createDataFrame([row], EVENTS).coalesce(1), f"{self.root}/stage_events")
+        self._append("stage_events", EVENTS, row)
 
     def find(self, name: str, stage: str = "Production") -> tuple[int, str] | None:
         """(version, path) of the model now in a stage."""

@@ -21,7 +21,7 @@ from millrace.schema import (
     DRIFT_THRESHOLD,
     NUMERICAL,
 )
-from millrace.workspace import cut_lineage
+from millrace.workspace import stored
 
 SIDE = "side"
 BASELINE = "baseline"
@@ -225,8 +225,8 @@ def ks_distance(
             _gap(F.col("after1"), F.col("before2")), -_gap(F.col("before1"), F.col("after2"))
         )
         # Stored, so that the scan is not repeated for its two uses.
-        ends = cut_lineage(
-            ends.withColumn("unsettled", F.col("several") & (at_most > F.max("gap").over(whole)))
+        ends, _ = stored(
+            ends.withColumn("unsettled", F.col("several") & (at_most > F.max("gap").over(whole))), "drift"
         )
         inside = _gaps_inside(rows, ends.where("unsettled"))
         gaps = ends.select("feature", "total1", "total2", "gap").unionByName(inside)

@@ -24,6 +24,7 @@ from millrace.schema import (
     ONLINE_KEYS,
     RESCUED,
     RETRAIN_BELOW_F1,
+    TRAINING_COLUMNS,
     Settings,
 )
 from millrace.sinks import feature_tables, predictions, publish, snapshots
@@ -87,9 +88,18 @@ def silver(spark: SparkSession, settings: Settings, schema: T.StructType = ACTIV
 
 
 def _refresh(
-    spark: SparkSession, settings: Settings, name: str, rows: DataFrame, description: str,
+    spark: SparkSession, settings: Settings, name: str, description: str, schema: T.StructType,
     since: date | None,
 ) -> bool:
+    rows = silver(spark, settings, schema)
+    if since:
+        rows = rows.where(F.col(DATE) >= F.lit(since))
+    # Silver that has the keys of the table is copied day by day without a shuffle.
+    same_keys = set(settings.keys) == set(OFFLINE_KEYS)
+    if same_keys:
+        rows = rows.select(*TRAINING_COLUMNS)
+    else:
+        rows = features.training_rows(rows, OFFLINE_KEYS, settings.order)
     if rows.isEmpty():
         return False
     feature_tables.ensure_schema(spark, settings.offline_schema, settings.root)
@@ -102,6 +112,7 @@ def _refresh(
         mode="partitions" if since else "overwrite",
         keep=settings.keep_versions,
         check=False,
+        rebalance=not same_keys,
     )
     return True
 
@@ -109,26 +120,18 @@ def _refresh(
 def refresh_training_table(
     spark: SparkSession, settings: Settings, schema: T.StructType = ACTIVITY, since: date | None = None
 ) -> bool:
-    """Training table from silver, one row per (date, customer); False when silver is empty.
+    """Training table from silver, one row per (date, customer); False when there are no rows.
 
     ``since`` refreshes only the days from then on and leaves the history as it is.
     """
-    rows = silver(spark, settings, schema)
-    if since:
-        rows = rows.where(F.col(DATE) >= F.lit(since))
-    rows = features.training_rows(rows, OFFLINE_KEYS, settings.order)
-    return _refresh(spark, settings, settings.training, rows, "Training feature table", since)
+    return _refresh(spark, settings, settings.training, "Training feature table", schema, since)
 
 
 def refresh_serving_table(
     spark: SparkSession, settings: Settings, schema: T.StructType = ACTIVITY, since: date | None = None
 ) -> bool:
-    """Offline serving table from silver; False when silver is empty."""
-    rows = silver(spark, settings, schema)
-    if since:
-        rows = rows.where(F.col(DATE) >= F.lit(since))
-    rows = features.training_rows(rows, OFFLINE_KEYS, settings.order)
-    return _refresh(spark, settings, settings.offline_serving, rows, "Serving feature table", since)
+    """Offline serving table from silver, refreshed in the same way."""
+    return _refresh(spark, settings, settings.offline_serving, "Serving feature table", schema, since)
 
 
 def refresh_online_features(
@@ -215,13 +218,13 @@ def check_drift(spark: SparkSession, settings: Settings, as_of: date, **options)
 
 
 JOBS = {
-    "generate": generate_activity,
-    "medallion": lambda spark, settings, as_of: run_medallion(spark, settings),
-    "training-table": lambda spark, settings, as_of: refresh_training_table(spark, settings),
-    "serving-table": lambda spark, settings, as_of: refresh_serving_table(spark, settings),
-    "online-features": lambda spark, settings, as_of: refresh_online_features(spark, settings),
-    "train": train_model,
-    "score": score_batch,
-    "evaluate": evaluate_model,
-    "drift": check_drift,
+    "generate": lambda spark, settings, as_of, since: generate_activity(spark, settings, as_of),
+    "medallion": lambda spark, settings, as_of, since: run_medallion(spark, settings),
+    "training-table": lambda spark, settings, as_of, since: refresh_training_table(spark, settings, since=since),
+    "serving-table": lambda spark, settings, as_of, since: refresh_serving_table(spark, settings, since=since),
+    "online-features": lambda spark, settings, as_of, since: refresh_online_features(spark, settings),
+    "train": lambda spark, settings, as_of, since: train_model(spark, settings, as_of),
+    "score": lambda spark, settings, as_of, since: score_batch(spark, settings, as_of),
+    "evaluate": lambda spark, settings, as_of, since: evaluate_model(spark, settings, as_of),
+    "drift": lambda spark, settings, as_of, since: check_drift(spark, settings, as_of),
 }

@@ -57,12 +57,13 @@ def _text(value: str) -> str:
 
 
 def _write_data(
-    df: DataFrame, name: str, keys: Sequence[str], partition_by: Sequence[str], check: bool
+    df: DataFrame, name: str, keys: Sequence[str], partition_by: Sequence[str], check: bool,
+    rebalance: bool = True,
 ) -> str:
     """Write a new data table and check its keys there, so ``df`` is computed once."""
     stamp = datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S%f")
     data = f"{name}__{stamp}_{uuid.uuid4().hex[:6]}"
-    if partition_by:
+    if partition_by and rebalance:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.format("parquet")
     (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(data)
@@ -94,17 +95,20 @@ def create_table(
     partition_by: Sequence[str] = (),
     description: str = "",
     check: bool = True,
+    rebalance: bool = True,
 ) -> None:
     """Create a feature table with its first contents."""
     absent = [c for c in [*keys, *partition_by] if c not in df.columns]
     if absent:
         raise ValueError(f"columns not in the data: {absent}")
     spark = df.sparkSession
-    data = _write_data(df, name, keys, partition_by, check)
+    data = _write_data(df, name, keys, partition_by, check, rebalance)
     _point(spark, name, data, df.columns, description, keys, partition_by)
 
 
-def replace_table(df: DataFrame, name: str, keep: int = 2, check: bool = True) -> None:
+def replace_table(
+    df: DataFrame, name: str, keep: int = 2, check: bool = True, rebalance: bool = True
+) -> None:
     """Replace all rows of a feature table; its keys, partitions and description stay.
 
     The newest ``keep`` data tables remain, for readers that started on an older one.
@@ -113,7 +117,7 @@ def replace_table(df: DataFrame, name: str, keep: int = 2, check: bool = True) -
     known = properties(spark, name)
     keys = [k for k in known["keys"].split(",") if k]
     partition_by = [c for c in known["partition_columns"].split(",") if c]
-    data = _write_data(df, name, keys, partition_by, check)
+    data = _write_data(df, name, keys, partition_by, check, rebalance)
     _point(spark, name, data, df.columns, known["description"], keys, partition_by)
     schema, table = name.split(".")
     older = sorted(
@@ -123,7 +127,9 @@ def replace_table(df: DataFrame, name: str, keep: int = 2, check: bool = True) -
         spark.sql(f"DROP TABLE IF EXISTS {schema}.{t}")
 
 
-def replace_partitions(df: DataFrame, name: str, check: bool = True) -> None:
+def replace_partitions(
+    df: DataFrame, name: str, check: bool = True, rebalance: bool = True
+) -> None:
     """Replace only the partitions ``df`` has rows of, in place.
 
     For a daily refresh of a table with years of history: cost follows the new days, not
@@ -139,9 +145,11 @@ def replace_partitions(df: DataFrame, name: str, check: bool = True) -> None:
     ordered = spark.table(target).columns
     staged = None
     if check:
-        staged = _write_data(df, f"{name}_stage", keys, partition_by, check)
+        staged = _write_data(df, f"{name}_stage", keys, partition_by, check, rebalance)
         df = spark.table(staged)
-    rows = df.select(*ordered).hint("rebalance", *partition_by)
+    rows = df.select(*ordered)
+    if rebalance:
+        rows = rows.hint("rebalance", *partition_by)
     # insertInto takes the mode from the session, not from a write option.
     before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
@@ -164,21 +172,24 @@ def update_table(
     publish=None,
     keep: int = 2,
     check: bool = True,
+    rebalance: bool = True,
 ) -> None:
     """Create the table, or replace its contents when it exists; optionally publish it.
 
     ``mode`` is "overwrite" for the whole contents or "partitions" for the partitions in
     ``df``. ``publish`` is called with the stored table. ``check=False`` skips the shuffle
     that proves the keys unique, for data that comes out of a grouping by these keys.
+    ``rebalance=False`` skips the shuffle that gathers the rows of a partition, for data read
+    from files that already hold one partition each.
     """
     spark = df.sparkSession
     if mode not in ("overwrite", "partitions"):
         raise ValueError(f"unknown mode {mode!r}")
     if not table_exists(spark, name):
-        create_table(df, name, keys, partition_by, description, check)
+        create_table(df, name, keys, partition_by, description, check, rebalance)
     elif mode == "overwrite":
-        replace_table(df, name, keep, check)
+        replace_table(df, name, keep, check, rebalance)
     else:
-        replace_partitions(df, name, check)
+        replace_partitions(df, name, check, rebalance)
     if publish is not None:
         publish(spark.table(name))

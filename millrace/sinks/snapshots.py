@@ -18,10 +18,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.latest import DELETED, latest_by_key
-from millrace.sources.exists import child_names, path_exists, remove
+from millrace.sources.exists import matching_paths, remove
 
 # Folder names look like a partition, so that one scan can take folders of several versions.
 PREFIX = "_snapshot="
+# Up to this many partitions in a merge, every task writes its own file into each of them.
+FEW_PARTITIONS = 4
 
 
 def _folder(root: str, version: int) -> str:
@@ -30,30 +32,20 @@ def _folder(root: str, version: int) -> str:
 
 def versions(spark: SparkSession, root: str) -> list[int]:
     """Finished versions, oldest first."""
-    found = sorted(int(n.removeprefix(PREFIX)) for n in child_names(spark, root) if n.startswith(PREFIX))
-    return [v for v in found if path_exists(spark, f"{_folder(root, v)}/_SUCCESS")]
-
-
-def _partition_folders(spark: SparkSession, folder: str, depth: int) -> list[str]:
-    """Partition paths below a version folder, relative to it."""
-    level = [""]
-    for _ in range(depth):
-        level = [
-            f"{parent}/{name}"
-            for parent in level
-            for name in child_names(spark, f"{folder}{parent}")
-            if "=" in name
-        ]
-    return level
+    marks = matching_paths(spark, root, f"{PREFIX}*/_SUCCESS")
+    return sorted(int(m.split("/")[0].removeprefix(PREFIX)) for m in marks)
 
 
 def _current_folders(spark: SparkSession, root: str, depth: int, below: int | None) -> dict[str, int]:
     """Partition path -> newest finished version holding it (older than ``below`` if given)."""
-    current = {}
-    for v in versions(spark, root):
-        if below is None or v < below:
-            for folder in _partition_folders(spark, _folder(root, v), depth):
-                current[folder] = v
+    finished = {v for v in versions(spark, root) if below is None or v < below}
+    current: dict[str, int] = {}
+    for path in matching_paths(spark, root, f"{PREFIX}*" + "/*=*" * depth):
+        name, *partition = path.split("/")
+        v = int(name.removeprefix(PREFIX))
+        folder = "".join(f"/{p}" for p in partition)
+        if v in finished and v >= current.get(folder, v):
+            current[folder] = v
     return current
 
 
@@ -90,10 +82,15 @@ def read_snapshot(
     return rows.where(~F.coalesce(DELETED, F.lit(False))).drop(DELETED)
 
 
-def write_version(df: DataFrame, root: str, version: int, partition_by: Sequence[str] = ()) -> None:
-    """Write one version; the same version again replaces its earlier, unfinished self."""
-    if partition_by:
-        # Brings the rows of a partition value together, but splits a large one.
+def write_version(
+    df: DataFrame, root: str, version: int, partition_by: Sequence[str] = (), rebalance: bool = True
+) -> None:
+    """Write one version; the same version again replaces its earlier, unfinished self.
+
+    ``rebalance`` brings the rows of a partition value together, and splits a large one, so
+    that few files are written; it costs a shuffle.
+    """
+    if partition_by and rebalance:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(_folder(root, version))
@@ -142,7 +139,7 @@ def merge_changes(
         spark, root, newest.schema, partition_by, below=version, only=touched, keep_deleted=True
     )
     merged = latest_by_key(current.unionByName(newest), keys, order, keep_deleted=True)
-    write_version(merged, root, version, partition_by)
+    write_version(merged, root, version, partition_by, rebalance=len(touched) > FEW_PARTITIONS)
 
 
 def expire(spark: SparkSession, root: str, partition_by: Sequence[str] = (), keep: int = 2) -> list[int]:

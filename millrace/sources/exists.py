@@ -18,9 +18,12 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(p))
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _path(spark, path)
-    return fs.exists(p)
+def matching_paths(spark: SparkSession, root: str, pattern: str) -> list[str]:
+    """Paths below ``root`` that match a glob pattern, relative to it."""
+    fs, p = _path(spark, f"{root}/{pattern}")
+    found = fs.globStatus(p) or []
+    depth = pattern.count("/") + 1
+    return sorted("/".join(str(f.getPath()).split("/")[-depth:]) for f in found)
 
 
 def remove(spark: SparkSession, path: str) -> None:

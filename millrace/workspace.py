@@ -29,9 +29,11 @@ def run_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_root(spark)}/millrace/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and read it from there."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(f"{shared_root(spark)}/rdd")
-    return df.checkpoint()
+def stored(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
+    """Write ``df`` to a run folder and read it from there; returns the folder too.
+
+    Cuts the lineage, survives the loss of executors, and a later pass reads columns.
+    """
+    path = run_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path

@@ -91,8 +91,8 @@ def test_a_failed_batch_is_repeated(spark, tmp_path, history, monkeypatch):
     whole = snapshots.write_version
     calls = []
 
-    def fail_after_writing(*a):
-        whole(*a)
+    def fail_after_writing(*a, **options):
+        whole(*a, **options)
         calls.append(a[2])
         if len(calls) == 2:
             raise RuntimeError("lost")
