@@ -27,7 +27,7 @@ from millrace.schema import (
     TRAINING_COLUMNS,
     Settings,
 )
-from millrace.sinks import feature_tables, predictions, publish, snapshots
+from millrace.sinks import feature_tables, layers, predictions, publish, snapshots
 from millrace.sources import generate as generator
 from millrace.sources import scan
 from millrace.sources.rescue import conform
@@ -59,7 +59,7 @@ def run_medallion(
 ) -> dict[str, dict]:
     """New raw files to bronze, rows that meet the rules to silver; returns the rule counts.
 
-    ``prepare`` maps a source with other column names onto those of the schema.
+    Both layers are named in the catalog: ``<table>_bronze`` and ``<table>_silver``. ``prepare`` maps a source with other column names onto those of the schema.
     """
     raw = scan.stream(spark, settings.raw, files_per_batch=files_per_batch)
     if prepare is not None:
@@ -76,10 +76,29 @@ def run_medallion(
         partition_by=_history_partition(settings),
         drop=[RESCUED],
     )
+    name_layers(spark, settings, schema)
     snapshots.expire(spark, settings.silver, _history_partition(settings), settings.keep_versions)
     return quality.observed_counts(progress, settings.rules)
 
 
+def name_layers(spark: SparkSession, settings: Settings, schema: T.StructType = ACTIVITY) -> None:
+    """Give bronze and silver their names, comments and quality properties."""
+    feature_tables.ensure_schema(spark, settings.layer_schema, settings.root)
+    stored = T.StructType([*_snapshot_schema(schema).fields, T.StructField(RESCUED, T.StringType())])
+    layers.name_folder(
+        spark, settings.bronze_table, settings.bronze, stored, f"Bronze table of {settings.table}", "bronze"
+    )
+    layers.name_snapshot(
+        spark,
+        settings.silver_table,
+        settings.silver,
+        _snapshot_schema(schema),
+        _history_partition(settings),
+        f"Silver table of {settings.table}",
+        "silver",
+    )
+
+
 def silver(spark: SparkSession, settings: Settings, schema: T.StructType = ACTIVITY) -> DataFrame:
     """The silver table as it is now."""
     return snapshots.read_snapshot(

@@ -59,6 +59,7 @@ def _settings(spark: SparkSession, sf: str, purpose: str) -> Settings:
         root=run_folder(spark, purpose),
         raw_path=views.events_glob(sf),
         order=list(EVENT_ORDER),
+        layer_schema=f"layers_{tag}",
         offline_schema=f"offline_{tag}",
         online_schema=f"online_{tag}",
         sum_digits=2,
@@ -449,7 +450,7 @@ def silver_scd1_daily_stream(spark: SparkSession, sf: str) -> DataFrame:
 def run_medallion(spark: SparkSession, sf: str) -> DataFrame:
     settings = _settings(spark, sf, "medallion")
     _medallion(spark, settings)
-    return jobs.silver(spark, settings, views.EVENT_ACTIVITY)
+    return scan.table(spark, settings.silver_table)
 
 
 def refresh_training_table(spark: SparkSession, sf: str) -> DataFrame:

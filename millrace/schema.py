@@ -66,6 +66,7 @@ class Settings:
     keys: list[str] = field(default_factory=lambda: list(OFFLINE_KEYS))
     order: list[str] = field(default_factory=lambda: [DATE])
     rules: dict[str, str] = field(default_factory=lambda: dict(ACTIVITY_RULES))
+    layer_schema: str = "default"
     offline_schema: str = "offline"
     online_schema: str = "online"
     training_table: str = "training"
@@ -106,6 +107,14 @@ class Settings:
     def online_store(self) -> str:
         return f"{self.root}/online_store/{self.serving_table}"
 
+    @property
+    def bronze_table(self) -> str:
+        return f"{self.layer_schema}.{self.table}_bronze"
+
+    @property
+    def silver_table(self) -> str:
+        return f"{self.layer_schema}.{self.table}_silver"
+
     @property
     def training(self) -> str:
         return f"{self.offline_schema}.{self.training_table}"

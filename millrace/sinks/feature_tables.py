@@ -52,7 +52,8 @@ def properties(spark: SparkSession, name: str) -> dict[str, str]:
     return found
 
 
-def _text(value: str) -> str:
+def quoted(value: str) -> str:
+    """A SQL string literal."""
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
@@ -82,9 +83,9 @@ def _point(
 ) -> None:
     listed = ", ".join(f"`{c}`" for c in columns)
     spark.sql(
-        f"CREATE OR REPLACE VIEW {name} COMMENT {_text(description)} TBLPROPERTIES ("
-        f"'keys' = {_text(','.join(keys))}, 'partition_columns' = {_text(','.join(partition_by))}, "
-        f"'data' = {_text(data)}) AS SELECT {listed} FROM {data}"
+        f"CREATE OR REPLACE VIEW {name} COMMENT {quoted(description)} TBLPROPERTIES ("
+        f"'keys' = {quoted(','.join(keys))}, 'partition_columns' = {quoted(','.join(partition_by))}, "
+        f"'data' = {quoted(data)}) AS SELECT {listed} FROM {data}"
     )
 
 

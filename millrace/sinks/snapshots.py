@@ -26,7 +26,7 @@ PREFIX = "_snapshot="
 FEW_PARTITIONS = 4
 
 
-def _folder(root: str, version: int) -> str:
+def folder_path(root: str, version: int) -> str:
     return f"{root}/{PREFIX}{version}"
 
 
@@ -36,7 +36,7 @@ def versions(spark: SparkSession, root: str) -> list[int]:
     return sorted(int(m.split("/")[0].removeprefix(PREFIX)) for m in marks)
 
 
-def _current_folders(spark: SparkSession, root: str, depth: int, below: int | None) -> dict[str, int]:
+def current_folders(spark: SparkSession, root: str, depth: int, below: int | None = None) -> dict[str, int]:
     """Partition path -> newest finished version holding it (older than ``below`` if given)."""
     finished = {v for v in versions(spark, root) if below is None or v < below}
     current: dict[str, int] = {}
@@ -62,14 +62,14 @@ def read_snapshot(
 
     ``schema`` names the columns, partition columns included; an empty table has it too.
     """
-    current = _current_folders(spark, root, len(partition_by), below)
+    current = current_folders(spark, root, len(partition_by), below)
     wanted = current if only is None else {f: current[f] for f in only if f in current}
     stored = T.StructType(list(schema.fields))
     if DELETED not in stored.names:
         stored.add(DELETED, T.BooleanType())
     by_version: dict[int, list[str]] = {}
     for folder, v in wanted.items():
-        by_version.setdefault(v, []).append(f"{_folder(root, v)}{folder}")
+        by_version.setdefault(v, []).append(f"{folder_path(root, v)}{folder}")
     if not by_version:
         rows = spark.createDataFrame([], stored)
     else:
@@ -93,7 +93,7 @@ def write_version(
     if partition_by and rebalance:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(_folder(root, version))
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(folder_path(root, version))
 
 
 def touched_partitions(changes: DataFrame, partition_by: Sequence[str]) -> list[str]:
@@ -145,8 +145,8 @@ def merge_changes(
 def expire(spark: SparkSession, root: str, partition_by: Sequence[str] = (), keep: int = 2) -> list[int]:
     """Remove versions none of whose partitions is current, except the newest ``keep``."""
     finished = versions(spark, root)
-    in_use = set(_current_folders(spark, root, len(partition_by), None).values())
+    in_use = set(current_folders(spark, root, len(partition_by)).values())
     old = [v for v in finished[:-keep] if v not in in_use]
     for v in old:
-        remove(spark, _folder(root, v))
+        remove(spark, folder_path(root, v))
     return old

@@ -106,31 +106,27 @@ ks AS (
   FROM cum GROUP BY feature)
 """
 
-# Exact p-value: probability that a random lattice path from (0, 0) to (n1, n2) reaches the gap.
+# Exact p-value: probability that a random lattice path from (0, 0) to (n1, n2)
+# does not stay below the gap.
 PVALUE = """,
 walk AS (
   SELECT feature, n1, n2, gap, 0::BIGINT AS k,
-         list_transform(range(0, n1 + 1), lambda i: CASE WHEN i = 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS inside,
-         0.0::DOUBLE AS outside
+         list_transform(range(0, n1 + 1), lambda i: CASE WHEN i = 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS inside
   FROM ks WHERE greatest(n1, n2) <= 10000
   UNION ALL
-  SELECT feature, n1, n2, gap, k,
-         list_transform(step, lambda x, p: CASE WHEN abs((p - 1) * n2 - (k - p + 1) * n1) >= gap THEN 0.0::DOUBLE ELSE x END),
-         outside + list_sum(list_transform(step, lambda x, p: CASE WHEN abs((p - 1) * n2 - (k - p + 1) * n1) >= gap THEN x ELSE 0.0::DOUBLE END))
-  FROM (
-    SELECT feature, n1, n2, gap, k + 1 AS k, outside,
-           list_transform(inside, lambda x, p:
-             CASE WHEN k + 1 - (p - 1) BETWEEN 0 AND n2
-                  THEN x * (n2 - (k + 1 - (p - 1)) + 1) / (n1 + n2 - k)
-                       + CASE WHEN p > 1 THEN inside[p - 1] * (n1 - (p - 1) + 1) / (n1 + n2 - k) ELSE 0.0::DOUBLE END
-                  ELSE 0.0::DOUBLE END) AS step
-    FROM walk WHERE k < n1 + n2)),
+  SELECT feature, n1, n2, gap, k + 1,
+         list_transform(inside, lambda x, p:
+           CASE WHEN k + 1 - (p - 1) BETWEEN 0 AND n2 AND abs((p - 1) * n2 - (k + 2 - p) * n1) < gap
+                THEN x * (n2 - (k + 1 - (p - 1)) + 1) / (n1 + n2 - k)
+                     + CASE WHEN p > 1 THEN inside[p - 1] * (n1 - (p - 1) + 1) / (n1 + n2 - k) ELSE 0.0::DOUBLE END
+                ELSE 0.0::DOUBLE END)
+  FROM walk WHERE k < n1 + n2),
 lim AS (
   SELECT feature, x + 1 / (6 * sqrt(n)) + (x - 1) / (4 * n) AS z
   FROM (SELECT feature, n, gap / (n1::DOUBLE * n2) * sqrt(n) AS x
         FROM (SELECT *, round(n1::DOUBLE * n2 / (n1 + n2)) AS n FROM ks WHERE greatest(n1, n2) > 10000))),
 pv AS (
-  SELECT feature, least(outside, 1.0) AS p_value FROM walk WHERE k = n1 + n2
+  SELECT feature, 1 - inside[n1 + 1] AS p_value FROM walk WHERE k = n1 + n2
   UNION ALL
   SELECT feature, CASE WHEN z < 0.2 THEN 1.0 ELSE greatest(0.0, least(1.0,
          list_sum(list_transform(range(1, 101), lambda j: CASE WHEN j % 2 = 1 THEN 2 ELSE -2 END * exp(-2.0 * j * j * z * z))))) END

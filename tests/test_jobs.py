@@ -16,7 +16,7 @@ AS_OF = date(2024, 8, 30)
 def installed(spark, tmp_path_factory):
     """Forty days of generated batches, through every stored layer."""
     settings = Settings(
-        root=str(tmp_path_factory.mktemp("root")), offline_schema="jobs_offline", online_schema="jobs_online", sum_digits=2
+        root=str(tmp_path_factory.mktemp("root")), layer_schema="jobs_layers", offline_schema="jobs_offline", online_schema="jobs_online", sum_digits=2
     )
     for n in (40, 20, 9, 3, 1, 0):
         jobs.generate_activity(spark, settings, AS_OF - timedelta(days=n), 300)
@@ -36,6 +36,28 @@ def test_silver_holds_one_row_per_day_and_customer(spark, installed):
     assert rows(spark.table(installed.training)) == rows(silver.select(*spark.table(installed.training).columns))
 
 
+def test_layers_have_names_and_properties(spark, installed):
+    silver, bronze = spark.table(installed.silver_table), spark.table(installed.bronze_table)
+    assert rows(silver) == rows(jobs.silver(spark, installed))
+    assert bronze.count() == 1800 and bronze.columns[-1] == "_rescued_data"
+    for name, quality in ((installed.silver_table, "silver"), (installed.bronze_table, "bronze")):
+        found = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+        assert found["quality"] == quality
+        assert quality in spark.catalog.getTable(name).description.lower()
+    plan = silver.where(F.col("date") >= F.lit(AS_OF))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and "InMemoryFileIndex(1 paths)" in plan
+
+
+def test_silver_keyed_by_customer(spark, tmp_path):
+    settings = Settings(root=str(tmp_path), keys=["customer_number"], layer_schema="jobs_single")
+    for n in (2, 1):
+        jobs.generate_activity(spark, settings, AS_OF - timedelta(days=n), 200)
+        jobs.run_medallion(spark, settings)
+    silver = spark.table(settings.silver_table)
+    assert silver.count() == spark.read.parquet(settings.raw).select("customer_number").distinct().count()
+    assert rows(silver) == rows(jobs.silver(spark, settings))
+
+
 def test_online_features_are_published(spark, installed):
     stored = spark.table(installed.online_serving)
     assert rows(publish.read_published(spark, installed.online_store, stored.schema)) == rows(stored)
@@ -58,7 +80,7 @@ def test_empty_silver_updates_nothing(spark, tmp_path):
 
 
 def test_rule_counts_of_a_run(spark, tmp_path):
-    settings = Settings(root=str(tmp_path))
+    settings = Settings(root=str(tmp_path), layer_schema="jobs_counts")
     raw = "customer_number string, feature1 double, date date, target int"
     day = date(2024, 1, 1)
     data = [("1", 1.0, day, 0), ("x", 2.0, day, 0), (None, 3.0, day, 1)]
