@@ -12,6 +12,11 @@ from millrace.functions.columns import newest
 DELETED = "_deleted"
 
 
+def with_deletes(df: DataFrame, delete_when: str) -> DataFrame:
+    """Flag the rows that delete their key."""
+    return df.withColumn(DELETED, F.coalesce(F.expr(delete_when), F.lit(False)))
+
+
 def latest_by_key(
     df: DataFrame,
     keys: Sequence[str],
@@ -30,10 +35,9 @@ def latest_by_key(
     Each task reduces its rows to one per key before the shuffle, so a key that holds
     a large part of all rows costs no more than any other.
     """
-    columns = [c for c in df.columns if c not in drop or c in order or c in keys]
-    rows = df.select(*columns)
+    rows = df.drop(*[c for c in drop if c not in order and c not in keys])
     if delete_when is not None:
-        rows = rows.withColumn(DELETED, F.coalesce(F.expr(delete_when), F.lit(False)))
+        rows = with_deletes(rows, delete_when)
     values = [c for c in rows.columns if c not in keys]
     if not values:
         return rows.distinct()

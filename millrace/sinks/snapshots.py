@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.latest import DELETED, latest_by_key
+from millrace.operators.latest import DELETED, latest_by_key, with_deletes
 from millrace.sources.exists import matching_paths, remove
 
 # Folder names look like a partition, so that one scan can take folders of several versions.
@@ -129,16 +129,16 @@ def merge_changes(
         kind = changes.schema[c].dataType
         if c not in keys or not isinstance(kind, (T.DateType, T.IntegralType)):
             raise ValueError(f"partition column {c} has to be a key and a date or whole number")
-    newest = latest_by_key(changes, keys, order, delete_when, drop, keep_deleted=True)
-    if DELETED not in newest.columns:
-        newest = newest.withColumn(DELETED, F.lit(False))
+    if set(drop) & {*keys, *order}:
+        raise ValueError("keys and order columns have to be stored")
+    rows = with_deletes(changes, delete_when or "false").drop(*drop)
     touched = touched_partitions(changes, partition_by)
     if not touched:
         return
     current = read_snapshot(
-        spark, root, newest.schema, partition_by, below=version, only=touched, keep_deleted=True
+        spark, root, rows.schema, partition_by, below=version, only=touched, keep_deleted=True
     )
-    merged = latest_by_key(current.unionByName(newest), keys, order, keep_deleted=True)
+    merged = latest_by_key(current.unionByName(rows), keys, order, keep_deleted=True)
     write_version(merged, root, version, partition_by, rebalance=len(touched) > FEW_PARTITIONS)
 
 
