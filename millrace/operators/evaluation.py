@@ -54,32 +54,35 @@ def confusion(pairs: DataFrame) -> DataFrame:
     )
 
 
-def _zero_one(df: DataFrame, keys: Sequence[str], column: str, name: str) -> DataFrame:
-    return df.groupBy(*keys).agg(
-        F.count_if(F.col(column) == 1).cast("decimal(19,0)").alias(f"{name}1"),
-        F.count_if(F.col(column) == 0).cast("decimal(19,0)").alias(f"{name}0"),
-    )
-
-
 def confusion_by_key(
     labels: DataFrame, predictions: DataFrame, keys: Sequence[str] = (DATE, CUSTOMER)
 ) -> DataFrame:
     """Same counts as ``confusion(evaluation_pairs(..))`` without building the pairs.
 
-    Each side is counted per key first, then the counts are multiplied. Joined on a
-    key that repeats on both sides (the date alone), the pairs of a key grow with the
-    product of its rows; the counts are one row per key, and a hot key is reduced in the
-    map tasks. Join and aggregation share one partitioning.
+    Labels and predictions of a key are counted, then the counts are multiplied; a key only
+    one side has multiplies by zero, so no join is needed. Joined on a key that repeats on
+    both sides (the date alone), the pairs of a key grow with the product of its rows; here a
+    key is one row after the map tasks, and all rows go through one shuffle.
     """
-    t = _zero_one(labels, keys, TARGET, "t")
-    p = _zero_one(predictions, keys, PREDICTION, "p")
-    joined = t.join(p, list(keys), "inner")
+
+    def marks(df: DataFrame, column: str, name: str) -> DataFrame:
+        counted = {f"{name}1": F.col(column) == 1, f"{name}0": F.col(column) == 0}
+        known = df.dropna(subset=list(keys))
+        return known.select(
+            *keys,
+            *[counted.get(c, F.lit(False)).alias(c) for c in ("t1", "t0", "p1", "p0")],
+        )
+
+    both = marks(labels, TARGET, "t").unionByName(marks(predictions, PREDICTION, "p"))
+    counts = both.groupBy(*keys).agg(
+        *[F.count_if(c).cast("decimal(19,0)").alias(c) for c in ("t1", "t0", "p1", "p0")]
+    )
 
     def pairs(left: str, right: str):
         product = (F.col(left) * F.col(right)).cast("decimal(38,0)")
         return F.coalesce(F.sum(product), F.lit(0)).cast("decimal(38,0)")
 
-    return joined.agg(
+    return counts.agg(
         pairs("t1", "p1").alias("tp"),
         pairs("t0", "p1").alias("fp"),
         pairs("t1", "p0").alias("fn"),
