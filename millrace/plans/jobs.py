@@ -59,7 +59,8 @@ def run_medallion(
 ) -> dict[str, dict]:
     """New raw files to bronze, rows that meet the rules to silver; returns the rule counts.
 
-    Both layers are named in the catalog: ``<table>_bronze`` and ``<table>_silver``. ``prepare`` maps a source with other column names onto those of the schema.
+    Both layers are named in the catalog: ``<table>_bronze`` and ``<table>_silver``.
+    ``prepare`` maps a source with other column names onto those of the schema.
     """
     raw = scan.stream(spark, settings.raw, files_per_batch=files_per_batch)
     if prepare is not None:

@@ -26,9 +26,7 @@ from millrace.schema import (
     PREDICTION_DATE,
     RESCUED,
     Settings,
-    TARGET,
     TRAIN_DAYS,
-    TRAINING_COLUMNS,
 )
 from millrace.sinks import feature_tables, predictions, publish, snapshots
 from millrace.sources import scan

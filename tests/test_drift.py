@@ -44,7 +44,9 @@ SHAPES = {
     "one hot value": lambda r, shift: 0.0 if r.random() < 0.4 else r.gauss(shift, 1),
     "continuous": lambda r, shift: r.gauss(shift, 3),
     "same distribution": lambda r, shift: r.random(),
-    "far outliers": lambda r, shift: r.choice([1e300, -1e300, 1e-300, r.random()]) if r.random() < 0.1 else r.random() + shift,
+    "far outliers": lambda r, shift: (
+        r.choice([1e300, -1e300, 1e-300, r.random()]) if r.random() < 0.1 else r.random() + shift
+    ),
     "one value": lambda r, shift: 7.0,
 }
 

@@ -16,7 +16,11 @@ AS_OF = date(2024, 8, 30)
 def installed(spark, tmp_path_factory):
     """Forty days of generated batches, through every stored layer."""
     settings = Settings(
-        root=str(tmp_path_factory.mktemp("root")), layer_schema="jobs_layers", offline_schema="jobs_offline", online_schema="jobs_online", sum_digits=2
+        root=str(tmp_path_factory.mktemp("root")),
+        layer_schema="jobs_layers",
+        offline_schema="jobs_offline",
+        online_schema="jobs_online",
+        sum_digits=2,
     )
     for n in (40, 20, 9, 3, 1, 0):
         jobs.generate_activity(spark, settings, AS_OF - timedelta(days=n), 300)

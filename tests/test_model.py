@@ -3,7 +3,6 @@ from datetime import date
 import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import functions as F
 
 from conftest import rows
 from millrace.models import logistic

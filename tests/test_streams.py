@@ -2,7 +2,6 @@ import random
 from datetime import date
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import rows
 from millrace.operators import quality
