@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import language
+from millrace.llm import language, packing, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,14 @@ def op6_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return language.language_id(_table(spark, sf, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op6_language_id,)}
+def op7_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack(_table(spark, sf, "documents"))
+
+
+def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.toxicity(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op6_language_id, op7_best_fit_packing, op10_toxicity)}
 
 ORACLES: dict[str, str] = {}
