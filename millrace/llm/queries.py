@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import language, packing, toxicity
+from millrace.llm import language, ngram_join, packing, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,10 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return ngram_join.similar_documents(_table(spark, sf, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return language.language_id(_table(spark, sf, "documents"))
 
@@ -27,6 +31,6 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op6_language_id, op7_best_fit_packing, op10_toxicity)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_ngram_jaccard_join, op6_language_id, op7_best_fit_packing, op10_toxicity)}
 
 ORACLES: dict[str, str] = {}

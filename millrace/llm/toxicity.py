@@ -242,34 +242,35 @@ def _line(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return max(float(w[0]), 1e-3), float(w[1])
 
 
-def _group(words: list[str]) -> int:
+def _group(words: set[str]) -> int:
     """The same number for most copies of a document: the least hash of its longer words."""
     return min((zlib.crc32(w.encode()) for w in words if len(w) > 5), default=0)
 
 
 def fit(rows: pd.DataFrame, landmarks: int = 240, words: int = 6_000, cost: float = 1.0) -> Machine:
     """From labelled rows (text, toxic). One class alone gives a constant score."""
-    lists = [tokens(t) for t in rows["text"]]
     y = rows["toxic"].to_numpy(float)
     if not len(y) or y.min() == y.max():
         return Machine(slope=1e-3, shift=0.0 if not len(y) else (6.0 if y[0] else -6.0))
-    inside, outside = defaultdict(set), defaultdict(set)
-    for own, label in zip(lists, y):
-        group = _group(own)
-        for w in set(own):
-            (inside if label else outside)[w].add(group)
-    n1, n0 = y.sum(), len(y) - y.sum()
+    inside, outside, seen = Counter(), Counter(), set()
+    for text, label in zip(rows["text"], y):
+        own = set(tokens(text))
+        if (group := (label, _group(own))) not in seen:
+            seen.add(group)
+            (inside if label else outside).update(w for w in own if len(w) <= 2 * WINDOW)
+    n1 = sum(label for label, _ in seen)
+    n0 = len(seen) - n1
     rare = max(2, min(10, n1 / 20))
     witnesses = {
-        w for w, g in inside.items()
-        if len(w) > 2 and len(g) >= rare and len(g) / n1 > 10 * (len(outside.get(w, ())) + 0.5) / n0
+        w for w, n in inside.items()
+        if len(w) > 2 and n >= rare and n / n1 > 10 * (outside.get(w, 0) + 0.5) / n0
     }
     clean = sorted(outside.keys() - witnesses, key=lambda w: (zlib.crc32(w.encode()), w))
     if not witnesses or not clean:
         return Machine(slope=1e-3, shift=float(np.log(n1 / n0)))
     learned: set[str] = set()
     for _ in range(4):
-        sure = sorted(witnesses, key=lambda w: (-len(inside[w]), w))[:words]
+        sure = sorted(witnesses, key=lambda w: (-inside[w], w))[:words]
         known = clean[:words] + sorted(learned)
         marks = sure[: landmarks // 2]
         machine = _learn(sure, known, marks + known[: landmarks - len(marks)], cost)
@@ -278,7 +279,7 @@ def fit(rows: pd.DataFrame, landmarks: int = 240, words: int = 6_000, cost: floa
         margin = scorer.of_words(clean)
         wrong = {clean[i] for i in np.argsort(-margin)[:words] if margin[i] > -0.7} - learned - set(clean[:words])
         # So are words like the witnesses that no clean document has.
-        others = sorted(w for w, g in inside.items() if w not in outside and w not in witnesses and len(w) > 3)
+        others = sorted(w for w in inside if w not in outside and w not in witnesses and len(w) > 3)
         near = scorer.of_words(others) if others else np.empty(0)
         more = {others[i] for i in np.flatnonzero(near > 0.5)}
         if not wrong and not more:
@@ -289,7 +290,7 @@ def fit(rows: pd.DataFrame, landmarks: int = 240, words: int = 6_000, cost: floa
     return machine
 
 
-def toxicity_machine(docs: DataFrame, labels: DataFrame, toxic: int = 3000, clean: int = 6000) -> Machine:
+def toxicity_machine(docs: DataFrame, labels: DataFrame, toxic: int = 2000, clean: int = 4000) -> Machine:
     """Learned on about so many toxic and clean documents outside the held-out fold.
 
     Labels count once per document (the highest, if rows differ); NULL labels are left out.
