@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import language, ngram_join, packing, toxicity
+from millrace.llm import bpe, fingerprint, language, ngram_join, packing, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,10 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return ngram_join.similar_documents(_table(spark, sf, "documents"))
 
 
+def op3_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    return bpe.round_trip(_table(spark, sf, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return language.language_id(_table(spark, sf, "documents"))
 
@@ -27,10 +31,16 @@ def op7_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(_table(spark, sf, "documents"))
 
 
+def op9_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprint.fingerprints(_table(spark, sf, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_ngram_jaccard_join, op6_language_id, op7_best_fit_packing, op10_toxicity)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op2_ngram_jaccard_join, op3_byte_bpe, op6_language_id, op7_best_fit_packing, op9_fingerprints, op10_toxicity,
+)}
 
 ORACLES: dict[str, str] = {}
