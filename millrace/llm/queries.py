@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, fingerprint, language, ngram_join, packing, toxicity
+from millrace.llm import bpe, fingerprint, language, licenses, neighbours, ngram_join, packing, toxicity, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,10 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_url_filters(spark: SparkSession, sf: str) -> DataFrame:
+    return urls.judged(_table(spark, sf, "pages"))
+
+
 def op2_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return ngram_join.similar_documents(_table(spark, sf, "documents"))
 
@@ -23,6 +27,14 @@ def op3_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf, "documents"))
 
 
+def op4_warc(spark: SparkSession, sf: str) -> DataFrame:
+    return warc.archive_round_trip(_table(spark, sf, "pages"))
+
+
+def op5_nearest_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    return neighbours.neighbours(_table(spark, sf, "embeddings"))
+
+
 def op6_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return language.language_id(_table(spark, sf, "documents"))
 
@@ -31,6 +43,10 @@ def op7_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(_table(spark, sf, "documents"))
 
 
+def op8_license_scans(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.license_findings(_table(spark, sf, "documents"))
+
+
 def op9_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return fingerprint.fingerprints(_table(spark, sf, "documents"))
 
@@ -39,8 +55,12 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op2_ngram_jaccard_join, op3_byte_bpe, op6_language_id, op7_best_fit_packing, op9_fingerprints, op10_toxicity,
-)}
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (
+        op1_url_filters, op2_ngram_jaccard_join, op3_byte_bpe, op4_warc, op5_nearest_neighbours, op6_language_id,
+        op7_best_fit_packing, op8_license_scans, op9_fingerprints, op10_toxicity,
+    )
+}
 
 ORACLES: dict[str, str] = {}
