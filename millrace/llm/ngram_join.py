@@ -15,7 +15,7 @@ words). N-grams are 64-bit hashes. Documents link when the sets overlap by ``sha
   and only shorten the prefix.
 * A group of documents with a common prefix n-gram may hold a third of all. First every document
   is compared with one member of one of its groups, in rounds with other choices; what links is merged. Then
-  the pairs of a group that are not merged yet, not both of its largest component, are made
+  it meets some members of its groups. Last, the pairs of a group that are not merged yet, not both of its largest component, are made
   distinct, filtered by length, position and suffix, and verified once each.
 
 Components are exact: pairs left out are merged already. NULL and wordless texts have an
@@ -44,6 +44,8 @@ SHARE = (3, 4)
 FREQUENT = 0.005
 BUCKET = 1_500_000
 ROUNDS = 3
+#: The first pass over the remaining pairs takes one in so many members of each group.
+WAVE = 16
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -352,8 +354,11 @@ def _merged(sets: DataFrame, links: DataFrame) -> DataFrame:
     ).drop("component")
 
 
-def _remaining_pairs(sets: DataFrame) -> DataFrame:
-    """Distinct pairs that share a prefix n-gram, pass length and position, and are not merged."""
+def _remaining_pairs(sets: DataFrame, wave: int = 1) -> DataFrame:
+    """Distinct pairs that share a prefix n-gram, pass length and position, and are not merged.
+
+    With ``wave`` over 1 only with that part of the members of each group.
+    """
     num, den = SHARE
     entries = _prefixes(sets)
     sizes = entries.groupBy("gram", "comp").agg(F.count("*").alias("m"))
@@ -365,6 +370,8 @@ def _remaining_pairs(sets: DataFrame) -> DataFrame:
     y = open_.select(
         "gram", F.col("doc_id").alias("b"), F.col("n").alias("n2"), F.col("position").alias("p2"), F.col("comp").alias("c2"), F.col("short").alias("s2")
     )
+    if wave > 1:
+        y = y.where(F.pmod(F.xxhash64("b"), F.lit(wave)) == 0)
     # The larger side shows its prefix, the smaller one its shorter prefix.
     sides = F.when(F.col("n1") < F.col("n2"), F.col("s1")).when(F.col("n1") > F.col("n2"), F.col("s2")).otherwise(F.col("s1") & F.col("s2"))
     length = F.least("n1", "n2") * den >= F.greatest("n1", "n2") * num
@@ -402,6 +409,11 @@ def similar_documents(docs: DataFrame, words: int = WORDS) -> DataFrame:
         found, _ = stored(_verified(pairs, sets), "links")
         links = found if links is None else links.unionByName(found)
         sets, _ = stored(_merged(sets, links), "sets")
+    # Most of what is left links with many members of a group: a part of them merges it, and
+    # only what is unlike all of these meets every member.
+    early, _ = stored(_verified(_remaining_pairs(sets, WAVE), sets), "links")
+    links = links.unionByName(early)
+    sets, _ = stored(_merged(sets, links), "sets")
     last, _ = stored(_verified(_remaining_pairs(sets), sets), "links")
     reached, _ = stored(components(links.unionByName(last)), "components")
     reached = reached.select(F.col("node").alias("head"), "component")
