@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from millrace.llm.common import batch_of
 from millrace.llm.pieces import PartIds, matches, read_ranks
 
-STATES = 200_000
+STATES = 50_000
 CHUNK = 4096
 
 

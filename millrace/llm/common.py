@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of text that are worked on at once inside a task.
-CHUNK = 4_000_000
+CHUNK = 1_000_000
 
 
 def fold(doc_id: Column) -> Column:

@@ -42,7 +42,7 @@ WORDS = 5
 SHARE = (3, 4)
 #: N-grams in this share of all documents are sent with their documents.
 FREQUENT = 0.005
-BUCKET = 1_500_000
+BUCKET = 800_000
 ROUNDS = 3
 #: The first pass over the remaining pairs takes one in so many members of each group.
 WAVE = 16

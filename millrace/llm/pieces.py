@@ -15,7 +15,7 @@ from collections.abc import Callable
 import regex
 
 #: Parts of which a task remembers the ids at once, and the longest part that is kept.
-REMEMBERED = 600_000
+REMEMBERED = 250_000
 LONGEST = 64
 _cut = re.compile(r"(?= \S)")
 

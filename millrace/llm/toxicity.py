@@ -121,7 +121,7 @@ class Scorer:
     def words(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """Per range of rows: the first row, the row of each word, the margin of each word."""
         data, bounds = utf8(column)
-        for first, last in chunks(bounds, 2_000_000):
+        for first, last in chunks(bounds):
             own = bounds[first : last + 1] - bounds[first]
             points, ends = code_points(data[bounds[first] : bounds[last]], own)
             codes = self.codes[points]
