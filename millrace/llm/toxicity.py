@@ -12,14 +12,15 @@ documents. The machine learns words of these sentences, mapped by the Nyström m
 values against the landmarks, times the inverse root of the landmarks' kernel matrix. With
 fixed landmarks the decision is one weighted sum over letter triples, and it is applied so.
 
-A word counts as a witness by the number of groups of documents it is in, so that copies of
-one document don't make its words telling. A document scores by the highest margin of its
+A witness is in more toxic documents than chance explains, given how many words there are; of
+copies one document counts. A document scores by the highest margin of its
 words, turned into a probability on the labelled sample. Empty and NULL texts have no word and
 get the lowest score.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -242,9 +243,10 @@ def _line(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return max(float(w[0]), 1e-3), float(w[1])
 
 
-def _group(words: set[str]) -> int:
-    """The same number for most copies of a document: the least hash of its longer words."""
-    return min((zlib.crc32(w.encode()) for w in words if len(w) > 5), default=0)
+def _marks(words: set[str]) -> set[tuple[int, int]]:
+    """Three least hashes of the longer words; copies of a document share one nearly always."""
+    codes = [zlib.crc32(w.encode()) for w in words if len(w) > 5]
+    return {(k, min(c * odd & 0xFFFFFFFF for c in codes)) for k, odd in enumerate((1, 0x9E3779B1, 0x85EBCA6B))} if codes else set()
 
 
 def fit(rows: pd.DataFrame, landmarks: int = 240, words: int = 6_000, cost: float = 1.0) -> Machine:
@@ -253,18 +255,24 @@ def fit(rows: pd.DataFrame, landmarks: int = 240, words: int = 6_000, cost: floa
     if not len(y) or y.min() == y.max():
         return Machine(slope=1e-3, shift=0.0 if not len(y) else (6.0 if y[0] else -6.0))
     inside, outside, seen = Counter(), Counter(), set()
+    n1 = n0 = 0
     for text, label in zip(rows["text"], y):
         own = set(tokens(text))
-        if (group := (label, _group(own))) not in seen:
-            seen.add(group)
+        marks = {(label, m) for m in _marks(own)}
+        if not marks & seen:
             (inside if label else outside).update(w for w in own if len(w) <= 2 * WINDOW)
-    n1 = sum(label for label, _ in seen)
-    n0 = len(seen) - n1
-    rare = max(2, min(10, n1 / 20))
-    witnesses = {
-        w for w, n in inside.items()
-        if len(w) > 2 and n >= rare and n / n1 > 10 * (outside.get(w, 0) + 0.5) / n0
-    }
+            n1, n0 = n1 + bool(label), n0 + (not label)
+        seen |= marks
+    # How unlikely is it that a word as frequent falls so much on the toxic side by chance? The
+    # number of words that are tried is allowed for.
+    base = -math.log(n1 / (n1 + n0))
+    tried = math.log(2 * max(1, sum(n > 1 for n in inside.values())))
+
+    def telling(n: int, other: int) -> bool:
+        ways = math.lgamma(n + other + 1) - math.lgamma(n + 1) - math.lgamma(other + 1)
+        return n * base - ways > tried and n / n1 > 10 * (other + 0.5) / n0
+
+    witnesses = {w for w, n in inside.items() if len(w) > 2 and telling(n, outside.get(w, 0))}
     clean = sorted(outside.keys() - witnesses, key=lambda w: (zlib.crc32(w.encode()), w))
     if not witnesses or not clean:
         return Machine(slope=1e-3, shift=float(np.log(n1 / n0)))
@@ -278,14 +286,9 @@ def fit(rows: pd.DataFrame, landmarks: int = 240, words: int = 6_000, cost: floa
         # Clean words that come out too high are learned next.
         margin = scorer.of_words(clean)
         wrong = {clean[i] for i in np.argsort(-margin)[:words] if margin[i] > -0.7} - learned - set(clean[:words])
-        # So are words like the witnesses that no clean document has.
-        others = sorted(w for w in inside if w not in outside and w not in witnesses and len(w) > 3)
-        near = scorer.of_words(others) if others else np.empty(0)
-        more = {others[i] for i in np.flatnonzero(near > 0.5)}
-        if not wrong and not more:
+        if not wrong:
             break
         learned |= wrong
-        witnesses |= more
     machine.slope, machine.shift = _line(scorer.margins(pa.array(rows["text"].tolist(), pa.string())), y)
     return machine
 
