@@ -6,8 +6,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: up to this many rows in the larger sample the p-value is exact.
-EXACT_ROWS = 10_000
+LIMIT, EXACT = "limit", "exact"
 
 
 def _exact_pvalue_udf():
@@ -67,19 +66,24 @@ def large_sample_pvalue(n1: Column, n2: Column, distance: Column) -> Column:
     return F.when(z < 0.2, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), series)))
 
 
-def ks_pvalue(n1: Column, n2: Column, gap: Column) -> Column:
+def ks_pvalue(n1: Column, n2: Column, gap: Column, method: str = LIMIT) -> Column:
     """p-value from the two sizes and ``gap`` = D * n1 * n2, a whole number.
 
-    Meant for one row per feature. NULL where a sample is empty.
+    Meant for one row per feature. NULL where a sample is empty. The caller chooses between the
+    limit distribution, of one cost for any size, and the exact value, whose cost grows with the
+    product of size and gap; the sizes never choose.
     """
+    if method not in (LIMIT, EXACT):
+        raise ValueError(f"method is {LIMIT!r} or {EXACT!r}, not {method!r}")
     distance = gap.cast("double") / (n1.cast("double") * n2.cast("double"))
     usable = (n1 > 0) & (n2 > 0)
-    small = F.greatest(n1, n2) <= EXACT_ROWS
+    if method == LIMIT:
+        return F.when(usable, large_sample_pvalue(n1, n2, distance))
     # The guard is also inside the arguments, because a Python function is evaluated
     # for every row whatever the branch around it says.
     exact = _exact_pvalue_udf()(
-        F.when(usable & small, n1).otherwise(0).cast("bigint"),
-        F.when(usable & small, n2).otherwise(0).cast("bigint"),
-        F.when(usable & small, gap).otherwise(0).cast("bigint"),
+        F.when(usable, n1).otherwise(0).cast("bigint"),
+        F.when(usable, n2).otherwise(0).cast("bigint"),
+        F.when(usable, gap).otherwise(0).cast("bigint"),
     )
-    return F.when(usable & small, exact).when(usable, large_sample_pvalue(n1, n2, distance))
+    return F.when(usable, exact)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import finite, share_floor
-from millrace.functions.significance import ks_pvalue
+from millrace.functions.significance import LIMIT, ks_pvalue
 from millrace.schema import (
     CATEGORICAL,
     DATE,
@@ -173,7 +173,7 @@ def _gaps_inside(rows: DataFrame, unsettled: DataFrame) -> DataFrame:
     # are the same for all rows of a bucket.
     known = ["total1", "total2", "before1", "before2"]
     counted = (
-        rows.join(F.broadcast(unsettled.select("feature", "bucket", *known)), ["feature", "bucket"])
+        rows.join(unsettled.select("feature", "bucket", *known), ["feature", "bucket"])
         .groupBy("feature", "bucket", "value", *known)
         .agg(*_side_counts())
     )
@@ -244,10 +244,12 @@ def ks_distance(
     return best.withColumn("d", F.when(pairs > 0, F.col("gap").cast("double") / pairs))
 
 
-def ks_scores(df: DataFrame, features: Sequence[str] = NUMERICAL, most_buckets: int = MOST_BUCKETS) -> DataFrame:
-    """``ks_distance`` with the two-sided p-value."""
+def ks_scores(
+    df: DataFrame, features: Sequence[str] = NUMERICAL, most_buckets: int = MOST_BUCKETS, method: str = LIMIT
+) -> DataFrame:
+    """``ks_distance`` with the two-sided p-value by the limit distribution or the exact one."""
     scored = ks_distance(df, features, most_buckets)
-    return scored.withColumn("p_value", ks_pvalue(F.col("n1"), F.col("n2"), F.col("gap")))
+    return scored.withColumn("p_value", ks_pvalue(F.col("n1"), F.col("n2"), F.col("gap"), method))
 
 
 def psi_scores(df: DataFrame, features: Sequence[str] = CATEGORICAL) -> DataFrame:
@@ -295,14 +297,18 @@ def drift_report(
     thresholds: Mapping[str, float] | None = None,
     default_threshold: float = DRIFT_THRESHOLD,
     most_buckets: int = MOST_BUCKETS,
+    categorical_threshold: float | None = None,
+    method: str = LIMIT,
 ) -> DataFrame:
     """One row per feature: (feature, stattest, n1, n2, score, threshold, detected).
 
     ``score`` is the p-value of "ks" (drift when at or below the threshold) or the index
     of "psi" (drift when at or above). Score and flag are NULL when a window has no value
-    of the feature.
+    of the feature. A feature's own threshold comes first, then that of categorical features, then
+    the default. ``method`` is how the p-value is reckoned.
     """
-    limits = {c: (thresholds or {}).get(c, default_threshold) for c in [*numerical, *categorical]}
+    of_kind = default_threshold if categorical_threshold is None else categorical_threshold
+    limits = {c: default_threshold for c in numerical} | {c: of_kind for c in categorical} | dict(thresholds or {})
 
     def limit(names: Sequence[str]) -> Column:
         entries = [F.when(F.col("feature") == c, F.lit(float(limits[c]))) for c in names]
@@ -310,7 +316,7 @@ def drift_report(
 
     parts = []
     if numerical:
-        ks = ks_scores(df, numerical, most_buckets).withColumn("threshold", limit(numerical))
+        ks = ks_scores(df, numerical, most_buckets, method).withColumn("threshold", limit(numerical))
         parts.append(
             ks.select(
                 "feature", F.lit("ks").alias("stattest"), "n1", "n2", F.col("p_value").alias("score"),

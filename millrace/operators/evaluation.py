@@ -91,9 +91,11 @@ def confusion_by_key(
 
 
 def with_f1(counts: DataFrame) -> DataFrame:
-    return counts.withColumn("f1", f1(F.col("tp"), F.col("fp"), F.col("fn")))
+    """F1 of counts, NULL where there was nothing to count."""
+    pairs = sum((F.coalesce(F.col(c), F.lit(0)) for c in ("tp", "fp", "fn", "tn")), F.lit(0))
+    return counts.withColumn("f1", F.when(pairs > 0, f1(F.col("tp"), F.col("fp"), F.col("fn"))))
 
 
 def retrain_decision(scored: DataFrame, threshold: float = RETRAIN_BELOW_F1) -> DataFrame:
-    """(f1, retrain): retrain when the score is below the threshold."""
-    return scored.select("f1", (F.col("f1") < F.lit(threshold)).alias("retrain"))
+    """(f1, retrain): retrain when the score is below the threshold; without a score, don't."""
+    return scored.select("f1", F.coalesce(F.col("f1") < F.lit(threshold), F.lit(False)).alias("retrain"))

@@ -282,7 +282,7 @@ def drift_ks(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def drift_ks_orders(spark: SparkSession, sf: str) -> DataFrame:
-    scores = drift.ks_scores(_order_windows(spark, sf))
+    scores = drift.ks_scores(_order_windows(spark, sf), method="exact")
     return scores.select(
         "feature", "n1", "n2", F.round("d", 9).alias("d"), F.round("p_value", 7).alias("p_value")
     )
@@ -380,8 +380,8 @@ def registry_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     for _ in range(2):
         registry.register(model, rows, "orders_model", tags={"rows": str(n)}, as_of=views.ORDERS_AS_OF)
     scored = logistic.predict(registry.load("orders_model"), rows, views.ORDERS_AS_OF)
-    counted = scored.agg(F.count(PREDICTION).alias("scored"))
-    return registry.stages().select("version", "stage").crossJoin(F.broadcast(counted))
+    counted = scored.agg(F.count(PREDICTION)).first()[0]
+    return registry.stages().select("version", "stage").withColumn("scored", F.lit(counted))
 
 
 def registry_latest_run(spark: SparkSession, sf: str) -> DataFrame:

@@ -108,11 +108,11 @@ ks AS (
 
 # Exact p-value: probability that a random lattice path from (0, 0) to (n1, n2)
 # does not stay below the gap.
-PVALUE = """,
+EXACT_PVALUE = """,
 walk AS (
   SELECT feature, n1, n2, gap, 0::BIGINT AS k,
          list_transform(range(0, n1 + 1), lambda i: CASE WHEN i = 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS inside
-  FROM ks WHERE greatest(n1, n2) <= 10000
+  FROM ks
   UNION ALL
   SELECT feature, n1, n2, gap, k + 1,
          list_transform(inside, lambda x, p:
@@ -121,15 +121,18 @@ walk AS (
                      + CASE WHEN p > 1 THEN inside[p - 1] * (n1 - (p - 1) + 1) / (n1 + n2 - k) ELSE 0.0::DOUBLE END
                 ELSE 0.0::DOUBLE END)
   FROM walk WHERE k < n1 + n2),
+pv AS (SELECT feature, 1 - inside[n1 + 1] AS p_value FROM walk WHERE k = n1 + n2)
+"""
+
+# Limit distribution with a finite-sample correction.
+PVALUE = """,
 lim AS (
   SELECT feature, x + 1 / (6 * sqrt(n)) + (x - 1) / (4 * n) AS z
   FROM (SELECT feature, n, gap / (n1::DOUBLE * n2) * sqrt(n) AS x
-        FROM (SELECT *, round(n1::DOUBLE * n2 / (n1 + n2)) AS n FROM ks WHERE greatest(n1, n2) > 10000))),
+        FROM (SELECT *, round(n1::DOUBLE * n2 / (n1 + n2)) AS n FROM ks))),
 pv AS (
-  SELECT feature, 1 - inside[n1 + 1] AS p_value FROM walk WHERE k = n1 + n2
-  UNION ALL
   SELECT feature, CASE WHEN z < 0.2 THEN 1.0 ELSE greatest(0.0, least(1.0,
-         list_sum(list_transform(range(1, 101), lambda j: CASE WHEN j % 2 = 1 THEN 2 ELSE -2 END * exp(-2.0 * j * j * z * z))))) END
+         list_sum(list_transform(range(1, 101), lambda j: CASE WHEN j % 2 = 1 THEN 2 ELSE -2 END * exp(-2.0 * j * j * z * z))))) END AS p_value
   FROM lim)
 """
 
@@ -282,7 +285,7 @@ FROM od t JOIN pr p ON t.date = p.date AND t.customer_number = p.customer_number
     "drift_ks": f"WITH {EVENT_WINDOWS} {KS} SELECT feature, n1, n2, round(gap / (n1::DOUBLE * n2), 9) AS d FROM ks",
     "drift_ks_history": f"WITH {HISTORY_WINDOWS} {KS} SELECT feature, n1, n2, round(gap / (n1::DOUBLE * n2), 9) AS d FROM ks",
     "drift_ks_orders": f"""
-WITH RECURSIVE {ORDER_WINDOWS} {KS} {PVALUE}
+WITH RECURSIVE {ORDER_WINDOWS} {KS} {EXACT_PVALUE}
 SELECT feature, n1, n2, round(gap / (n1::DOUBLE * n2), 9) AS d, round(p_value, 7) AS p_value
 FROM ks JOIN pv USING (feature)""",
     "drift_psi": f"WITH {EVENT_WINDOWS} {_psi(['feature4'])} SELECT feature, n1, n2, round(psi, 9) AS psi FROM psi",

@@ -45,10 +45,10 @@ def test_counting_per_key_equals_counting_pairs(spark):
         assert [tuple(map(int, r)) for r in counted] == plain
 
 
-def test_no_rows_score_zero(spark):
+def test_no_rows_have_no_score(spark):
     t = spark.createDataFrame([], LABELS)
     p = spark.createDataFrame([], PREDICTIONS).withColumnRenamed("prediction_date", "date")
-    assert rows(ev.retrain_decision(ev.with_f1(ev.confusion_by_key(t, p)))) == [(0.0, True)]
+    assert rows(ev.retrain_decision(ev.with_f1(ev.confusion_by_key(t, p)))) == [(None, False)]
 
 
 def test_windows(spark):

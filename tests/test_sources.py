@@ -12,7 +12,7 @@ from millrace.sources.generate import activity_for, generate
 from millrace.sources.rescue import conform
 
 DAY = date(2024, 8, 30)
-TWO = [(1, 10.0, 20.0, 30.0, "Low", DAY, 0), (2, 15.0, 25.0, 35.0, "Medium", DAY, 1)]
+TWO = [(71, 0.5, -4.0, 9.25, "High", DAY, 1), (72, 6.0, 2.5, 0.0, "Low", DAY, 0)]
 
 
 def test_generated_batch_has_the_schema_and_distributions(spark):
@@ -48,7 +48,7 @@ def test_generation_does_not_depend_on_partitioning(spark):
     assert not generate(spark, DAY, 50).exceptAll(generate(spark, date(2024, 8, 31), 50)).isEmpty()
 
 
-@pytest.mark.parametrize("had_data, size", [(False, 10), (True, 100)])
+@pytest.mark.parametrize("had_data, size", [(False, 37), (True, 64)])
 def test_appending_a_batch_keeps_earlier_rows(spark, tmp_path, had_data, size):
     path = str(tmp_path / "raw")
     if had_data:
@@ -81,13 +81,13 @@ def test_named_tables(spark, schema_name):
 
 def test_windows_are_half_open(spark):
     df = spark.createDataFrame(
-        [("2024-01-01", 1), ("2024-01-10", 2), ("2024-01-20", 3)], "Date string, feature1 int"
+        [("2023-05-04", 1), ("2023-05-11", 2), ("2023-05-18", 3), ("2023-05-25", 4)], "Date string, feature1 int"
     ).withColumn("Date", F.to_date("Date"))
-    begin, mid = date(2024, 1, 1), date(2024, 1, 15)
+    begin, mid = date(2023, 5, 4), date(2023, 5, 18)
     assert rows(scan.between(df, begin, mid), "feature1") == [(1,), (2,)]
-    assert rows(scan.between(df, mid, None), "feature1") == [(3,)]
-    assert rows(scan.between(df, begin, date(2024, 1, 10)), "feature1") == [(1,)]
-    assert rows(scan.since(df, date(2024, 1, 20), 10), "feature1") == [(2,), (3,)]
+    assert rows(scan.between(df, mid, None), "feature1") == [(3,), (4,)]
+    assert rows(scan.between(df, begin, date(2023, 5, 11)), "feature1") == [(1,)]
+    assert rows(scan.since(df, date(2023, 5, 25), 14), "feature1") == [(2,), (3,), (4,)]
 
 
 def test_date_bound_reaches_the_scan(spark, tmp_path):
