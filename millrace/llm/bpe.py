@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 from array import array
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,7 +28,9 @@ from pyspark.sql import functions as F
 from millrace.llm.common import batch_of
 from millrace.llm.pieces import PartIds, matches, read_ranks
 
-STATES = 50_000
+#: States, and answers on neighbours, that a task remembers at once; either starts anew beyond.
+STATES = 300_000
+PAIRS = 1_000_000
 CHUNK = 4096
 
 
@@ -43,30 +46,31 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.bytes_of = {r: b for b, r in ranks.items()}
+        self.sizes = {r: len(b) for b, r in ranks.items()}
         self.prefixes = {b[:i] for b in ranks for i in range(1, len(b))}
-        self.longest = max(map(len, ranks), default=1)
+        self.halves: dict[int, tuple[int, int] | None] = {}
+        self.pairs: dict[tuple[int, int], bool] = {}
         self._forget()
 
     def _forget(self) -> None:
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.whole: dict[int, bool] = {}
         self.states: dict[tuple, int] = {}
-        self.contents: list[tuple[bytes, tuple]] = []
-        self.moves: list[dict[int, tuple[int, tuple]]] = []
-        self.start = self._state(b"", (None,))
+        self.contents: list[tuple] = []
+        self.moves: dict[int, tuple[int, tuple]] = {}
+        self.start = self._state(b"", (None,), (1,), (0,))
 
-    def _state(self, open_: bytes, last: tuple) -> int:
+    def _state(self, open_: bytes, last: tuple, ends: tuple, live: tuple) -> int:
+        # The other two follow from the first two.
         key = (open_, last)
-        if key not in self.states:
-            self.states[key] = len(self.contents)
-            self.contents.append(key)
-            self.moves.append({})
-        return self.states[key]
-
-    def merged(self, data: bytes) -> list[int]:
-        """Plain merging, lowest rank first."""
+        known = self.states.get(key)
+        if known is None:
+            known = self.states[key] = len(self.contents)
+            self.contents.append((open_, last, ends, live))
+        return known
+
+    def merged(self, data: bytes, down_to: int = 1) -> list[int]:
+        """Plain merging, lowest rank first, until ``down_to`` tokens are left."""
         parts = [data[i : i + 1] for i in range(len(data))]
-        while len(parts) > 1:
+        while len(parts) > down_to:
             best, at = min(
                 ((self.ranks.get(parts[i] + parts[i + 1], 1 << 60), i) for i in range(len(parts) - 1))
             )
@@ -75,61 +79,106 @@ class Transducer:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return [self.ranks[p] for p in parts]
 
+    def _halves(self, token: int) -> tuple[int, int] | None:
+        """The two tokens a token is merged from; None for single bytes and for tokens merging never makes."""
+        if token not in self.halves:
+            data = self.bytes_of[token]
+            found = self.merged(data, 2) if len(data) > 1 else []
+            made = len(found) == 2 and self.ranks.get(data) == token
+            self.halves[token] = (found[0], found[1]) if made else None
+        return self.halves[token]
+
     def _beside(self, left: int | None, right: int) -> bool:
-        if right not in self.whole:
-            self.whole[right] = self.merged(self.bytes_of[right]) == [right]
-        if left is None or not self.whole[right]:
-            return self.whole[right]
+        if self.sizes[right] > 1 and self._halves(right) is None:
+            return False
+        if left is None:
+            return True
         key = (left, right)
-        if key not in self.pairs:
-            self.pairs[key] = self.merged(self.bytes_of[left] + self.bytes_of[right]) == [left, right]
-        return self.pairs[key]
-
-    def _chain(self, open_: bytes, last: tuple, at: int) -> list[int]:
-        """Ends of the tokens that lead to a position, the position first."""
-        ends = [at]
-        while at:
-            at -= len(self.bytes_of[last[at]])
-            ends.append(at)
-        return ends
+        known = self.pairs.get(key)
+        if known is None:
+            if len(self.pairs) >= PAIRS:
+                self.pairs.clear()
+            known = self.pairs[key] = self._apart(left, right)
+        return known
+
+    def _apart(self, left: int, right: int) -> bool:
+        """Whether no merge ever joins two tokens across their border.
+
+        Undoes the merges of both from the last one back: of the two tokens at the border the one
+        that was made later is halved. The border would have been merged away if its two
+        neighbours make a token of a lower rank than the merge undone before, that is, sooner;
+        among merges of equal rank the one further to the left goes first.
+        """
+        before = 1 << 60
+        while True:
+            joined = self.ranks.get(self.bytes_of[left] + self.bytes_of[right])
+            if joined is not None and joined < before:
+                return False
+            halves_left = self._halves(left)
+            halves_right = self._halves(right)
+            if halves_left is None and halves_right is None:
+                return True
+            if halves_right is None or (halves_left is not None and left > right):
+                before, left = left, halves_left[1]
+            else:
+                # The right one is made after anything of its rank to its left.
+                before, right = right + 1, halves_right[0]
 
     def _step(self, state: int, byte: int) -> tuple[int, tuple]:
-        open_, last = self.contents[state]
-        open_ += bytes([byte])
+        """Read a byte. ``ends``: per position a bit for each end of the tokens leading there;
+        ``live``: positions at which a token that still goes on can begin."""
+        open_, last, ends, live = self.contents[state]
+        open_ += byte.to_bytes()
         n = len(open_)
-        for size in range(min(n, self.longest), 0, -1):
-            token = self.ranks.get(open_[n - size :])
-            if token is not None and self._beside(last[n - size], token):
-                last = (*last, token)
-                break
-        live = [n] + [i for i in range(max(0, n - self.longest), n) if open_[i:] in self.prefixes]
-        common = set(self._chain(open_, last, live[0]))
-        for i in live[1:]:
-            common &= set(self._chain(open_, last, i))
-        sure = max(common)
-        out = self._tokens(open_, last, sure)
-        move = (self._state(open_[sure:], last[sure:]), tuple(out))
-        self.moves[state][byte] = move
+        came, still = None, []
+        for i in live:
+            piece = open_[i:]
+            if came is None:
+                token = self.ranks.get(piece)
+                if token is not None and self._beside(last[i], token):
+                    came = token
+                    last, ends = (*last, token), (*ends, ends[i] | 1 << n)
+            if piece in self.prefixes:
+                still.append(i)
+        still.append(n)
+        common = ends[n]
+        for i in still:
+            common &= ends[i]
+        sure = common.bit_length() - 1
+        move = (
+            self._state(
+                open_[sure:], last[sure:], tuple(e >> sure for e in ends[sure:]), tuple(i - sure for i in still)
+            ),
+            self._tokens(last, sure),
+        )
+        self.moves[state << 8 | byte] = move
         return move
 
-    def _tokens(self, open_: bytes, last: tuple, at: int) -> list[int]:
-        return [last[i] for i in reversed(self._chain(open_, last, at)) if i]
+    def _tokens(self, last: tuple, at: int) -> tuple:
+        """The tokens that lead to a position."""
+        out = []
+        while at:
+            out.append(last[at])
+            at -= self.sizes[last[at]]
+        return tuple(reversed(out))
 
     def encode(self, data: bytes) -> list[int]:
         if data in self.ranks:
             return [self.ranks[data]]
         if len(self.contents) > STATES:
             self._forget()
-        state, out = self.start, []
+        state, out, moves = self.start, [], self.moves
         for byte in data:
-            move = self.moves[state].get(byte) or self._step(state, byte)
+            move = moves.get(state << 8 | byte) or self._step(state, byte)
             state = move[0]
             if move[1]:
-                out.extend(move[1])
-        open_, last = self.contents[state]
-        return out + self._tokens(open_, last, len(open_))
+                out += move[1]
+        open_, last, _, _ = self.contents[state]
+        out += self._tokens(last, len(open_))
+        return out
 
 
+@lru_cache(maxsize=2)
 def encoder(path: str, pattern: str) -> PartIds:
     transducer, split = Transducer(read_ranks(path)), matches(pattern)
 
