@@ -1,14 +1,17 @@
 """Byte-level BPE encoding with a lazily determinised transducer, and streaming decoding.
 
 The merges of a rank file are compiled into rules on neighbours: two tokens may stand side by
-side if merging their joined bytes gives just these two. A sequence is the encoding of
+side if merging never joins anything across their border. A sequence is the encoding of
 its bytes if all its neighbours may. So for every prefix of the bytes there is one last
 token, and reading one byte finds the next from those of the positions before it.
 
-A state holds the bytes whose tokens are still open and the last token at each of their
-positions. A token goes out once every place where a coming token can begin leads back through
-its end; so the lookahead is bounded by the longest token. States and transitions are
-made when first met and remembered.
+A state stands for all places at which a token that still goes on can have begun: that is
+the longest such stretch of bytes, since the others are its ends. A transition carries
+the tokens that end with its byte; the first that may stand beside the last token at its beginning
+is taken. States and transitions are made when first met and remembered; there are no
+more states than beginnings of tokens. A token goes out once every place where a coming token
+can begin leads back through its end, so the lookahead is bounded by the longest
+token and the stretch between two looks.
 
 Decoding joins the bytes of tokens and runs a UTF-8 machine over them that keeps an unfinished
 character until its other bytes arrive.
@@ -17,6 +20,7 @@ character until its other bytes arrive.
 from __future__ import annotations
 
 import hashlib
+import struct
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -26,11 +30,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import batch_of
-from millrace.llm.pieces import PartIds, matches, read_ranks
+from millrace.llm.pieces import LONGEST, REMEMBERED, PartIds, matches, read_ranks
 
-#: States, and answers on neighbours, that a task remembers at once; either starts anew beyond.
-STATES = 300_000
+#: Answers on neighbours that a task remembers at once; beyond, it starts anew.
 PAIRS = 1_000_000
+#: Bytes of one match between two looks for tokens that are sure.
+LOOK = 4096
 CHUNK = 4096
 
 
@@ -49,22 +54,17 @@ class Transducer:
         self.sizes = {r: len(b) for b, r in ranks.items()}
         self.prefixes = {b[:i] for b in ranks for i in range(1, len(b))}
         self.halves: dict[int, tuple[int, int] | None] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self._forget()
-
-    def _forget(self) -> None:
-        self.states: dict[tuple, int] = {}
-        self.contents: list[tuple] = []
-        self.moves: dict[int, tuple[int, tuple]] = {}
-        self.start = self._state(b"", (None,), (1,), (0,))
-
-    def _state(self, open_: bytes, last: tuple, ends: tuple, live: tuple) -> int:
-        # The other two follow from the first two.
-        key = (open_, last)
-        known = self.states.get(key)
+        self.pairs: dict[int, bool] = {}
+        self.states: dict[bytes, int] = {}
+        self.open: list[bytes] = []
+        self.moves: dict[int, tuple[int, tuple, int]] = {}
+        self.start = self._state(b"")
+
+    def _state(self, open_: bytes) -> int:
+        known = self.states.get(open_)
         if known is None:
-            known = self.states[key] = len(self.contents)
-            self.contents.append((open_, last, ends, live))
+            known = self.states[open_] = len(self.open)
+            self.open.append(open_)
         return known
 
     def merged(self, data: bytes, down_to: int = 1) -> list[int]:
@@ -88,17 +88,11 @@ class Transducer:
             self.halves[token] = (found[0], found[1]) if made else None
         return self.halves[token]
 
-    def _beside(self, left: int | None, right: int) -> bool:
-        if self.sizes[right] > 1 and self._halves(right) is None:
-            return False
-        if left is None:
-            return True
-        key = (left, right)
-        known = self.pairs.get(key)
-        if known is None:
-            if len(self.pairs) >= PAIRS:
-                self.pairs.clear()
-            known = self.pairs[key] = self._apart(left, right)
+    def _beside(self, left: int, right: int) -> bool:
+        known = self._apart(left, right)
+        if len(self.pairs) >= PAIRS:
+            self.pairs.clear()
+        self.pairs[left << 32 | right] = known
         return known
 
     def _apart(self, left: int, right: int) -> bool:
@@ -124,71 +118,88 @@ class Transducer:
                 # The right one is made after anything of its rank to its left.
                 before, right = right + 1, halves_right[0]
 
-    def _step(self, state: int, byte: int) -> tuple[int, tuple]:
-        """Read a byte. ``ends``: per position a bit for each end of the tokens leading there;
-        ``live``: positions at which a token that still goes on can begin."""
-        open_, last, ends, live = self.contents[state]
-        open_ += byte.to_bytes()
-        n = len(open_)
-        came, still = None, []
-        for i in live:
-            piece = open_[i:]
-            if came is None:
-                token = self.ranks.get(piece)
-                if token is not None and self._beside(last[i], token):
-                    came = token
-                    last, ends = (*last, token), (*ends, ends[i] | 1 << n)
-            if piece in self.prefixes:
-                still.append(i)
-        still.append(n)
-        common = ends[n]
-        for i in still:
-            common &= ends[i]
-        sure = common.bit_length() - 1
-        move = (
-            self._state(
-                open_[sure:], last[sure:], tuple(e >> sure for e in ends[sure:]), tuple(i - sure for i in still)
-            ),
-            self._tokens(last, sure),
-        )
-        self.moves[state << 8 | byte] = move
+    def _step(self, state: int, byte: int) -> tuple[int, tuple, int]:
+        """The next state, the longer tokens ending with the byte, longest first, and the byte's own token."""
+        read = self.open[state] + byte.to_bytes()
+        ends = []
+        for i in range(len(read) - 1):
+            token = self.ranks.get(read[i:])
+            if token is not None and self._halves(token) is not None:
+                ends.append((len(read) - i, token))
+        i = 0
+        while i < len(read) and read[i:] not in self.prefixes:
+            i += 1
+        move = self.moves[state << 8 | byte] = (self._state(read[i:]), tuple(ends), self.ranks[read[-1:]])
         return move
 
-    def _tokens(self, last: tuple, at: int) -> tuple:
-        """The tokens that lead to a position."""
-        out = []
+    def _chain(self, last: list, at: int) -> list[int]:
+        """Ends of the tokens that lead to a position, the position first."""
+        ends = [at]
         while at:
-            out.append(last[at])
             at -= self.sizes[last[at]]
-        return tuple(reversed(out))
+            ends.append(at)
+        return ends
+
+    def _tokens(self, last: list, at: int) -> list[int]:
+        return [last[i] for i in reversed(self._chain(last, at)[:-1])]
+
+    def _sure(self, last: list, state: int) -> int:
+        """The greatest end that all places where a coming token can begin lead back through."""
+        n, open_ = len(last) - 1, self.open[state]
+        common = set(self._chain(last, n))
+        for i in range(len(open_)):
+            if open_[i:] in self.prefixes:
+                common &= set(self._chain(last, n - len(open_) + i))
+        return max(common)
 
     def encode(self, data: bytes) -> list[int]:
         if data in self.ranks:
             return [self.ranks[data]]
-        if len(self.contents) > STATES:
-            self._forget()
-        state, out, moves = self.start, [], self.moves
+        out: list[int] = []
+        last: list[int | None] = [None]
+        state, moves, pairs = self.start, self.moves, self.pairs
         for byte in data:
-            move = moves.get(state << 8 | byte) or self._step(state, byte)
-            state = move[0]
-            if move[1]:
-                out += move[1]
-        open_, last, _, _ = self.contents[state]
-        out += self._tokens(last, len(open_))
-        return out
+            state, ends, token = moves.get(state << 8 | byte) or self._step(state, byte)
+            for size, longer in ends:
+                left = last[-size]
+                if left is None:
+                    token = longer
+                    break
+                fits = pairs.get(left << 32 | longer)
+                if fits is None:
+                    fits = self._beside(left, longer)
+                if fits:
+                    token = longer
+                    break
+            last.append(token)
+            if len(last) > LOOK:
+                sure = self._sure(last, state)
+                out += self._tokens(last, sure)
+                # From here on the last sure token is the left neighbour, as None is at the beginning.
+                last = last[sure:]
+        return out + self._tokens(last, len(last) - 1)
+
+
+class MatchIds(dict):
+    """Ids of matches as little-endian unsigned 32-bit integers; remembers short matches seen before."""
+
+    def __init__(self, transducer: Transducer):
+        self.transducer = transducer
+
+    def __missing__(self, match: str) -> bytes:
+        ids = self.transducer.encode(match.encode())
+        found = struct.pack(f"<{len(ids)}I", *ids)
+        if len(match) <= LONGEST:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[match] = found
+        return found
 
 
 @lru_cache(maxsize=2)
 def encoder(path: str, pattern: str) -> PartIds:
-    transducer, split = Transducer(read_ranks(path)), matches(pattern)
-
-    def encode(part: str) -> bytes:
-        ids = array("I")
-        for match in split(part):
-            ids.extend(transducer.encode(match.encode()))
-        return ids.tobytes()
-
-    return PartIds(encode)
+    known, split = MatchIds(Transducer(read_ranks(path))).__getitem__, matches(pattern)
+    return PartIds(lambda part: b"".join(map(known, split(part))))
 
 
 class Utf8:
