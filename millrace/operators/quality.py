@@ -35,22 +35,3 @@ def rule_counts(df: DataFrame, rules: dict[str, str]) -> DataFrame:
         for i, name in enumerate(rules)
     ]
     return one.select(F.inline(F.array(*entries)))
-
-
-def observe_rules(df: DataFrame, rules: dict[str, str], name: str = "rules") -> DataFrame:
-    """Attach the rule counts to whatever action or stream runs over ``df``."""
-    return df.observe(name, *_counts(rules))
-
-
-def observed_counts(progress: list, rules: dict[str, str], name: str = "rules") -> dict[str, dict]:
-    """Rule counts of a finished stream, added over its micro-batches."""
-    result = {rule: {"passed": 0, "failed": 0} for rule in rules}
-    for step in progress:
-        row = step["observedMetrics"].get(name)
-        if row is None:
-            continue
-        row = row if isinstance(row, dict) else row.asDict()
-        for i, rule in enumerate(rules):
-            result[rule]["failed"] += row[f"failed_{i}"]
-            result[rule]["passed"] += row["rows"] - row[f"failed_{i}"]
-    return result

@@ -14,6 +14,7 @@ from millrace.models.registry import Registry
 from millrace.operators import drift, evaluation, features, quality
 from millrace.schema import (
     ACTIVITY,
+    ARRIVAL,
     CUSTOMER,
     DATE,
     DRIFT_DAYS,
@@ -60,26 +61,50 @@ def run_medallion(
     """New raw files to bronze, rows that meet the rules to silver; returns the rule counts.
 
     Both layers are named in the catalog: ``<table>_bronze`` and ``<table>_silver``.
-    ``prepare`` maps a source with other column names onto those of the schema.
+    ``prepare`` maps a source with other column names onto those of the schema and has to keep
+    ``ARRIVAL``. Files may differ in schema. Of the rows of a key that tie in ``settings.order`` the
+    one that arrived last is kept. The counts are of all rows landed since the last finished run; a
+    run without new files counts zero.
     """
-    raw = scan.stream(spark, settings.raw, files_per_batch=files_per_batch)
-    if prepare is not None:
-        raw = prepare(raw)
-    conformed = quality.observe_rules(conform(raw, schema), settings.rules)
-    progress = flows.append_files(conformed, settings.bronze, f"{settings.checkpoints}/bronze")
-    bronze = scan.stream(spark, settings.bronze, files_per_batch=files_per_batch)
+    arrived = T.StructType([T.StructField("time", T.TimestampType()), T.StructField("file", T.StringType()), T.StructField("row", T.LongType())])
+    stored = T.StructType([*schema.fields, T.StructField(ARRIVAL, arrived)])
+
+    def shape(rows: DataFrame) -> DataFrame:
+        rows = prepare(rows) if prepare is not None else rows
+        if ARRIVAL not in rows.columns:
+            raise ValueError(f"prepare has to keep {ARRIVAL}")
+        return conform(rows, stored)
+
+    counts, finished = f"{settings.bronze}_counts", f"{settings.bronze}_finished"
+    before = flows.last_batch(spark, finished)
+    flows.land_files(
+        spark, settings.raw, settings.bronze, f"{settings.checkpoints}/bronze", shape, settings.rules, counts,
+        files_per_batch,
+    )
+    found = flows.stored_counts(spark, counts, settings.rules, before).collect()
+    by_rule = {r["rule"]: {"passed": r["passed"], "failed": r["failed"]} for r in found}
+    result = {rule: by_rule[rule] for rule in settings.rules}
+    newest = flows.last_batch(spark, settings.bronze)
+    if newest < 0:
+        return result
+    landed = T.StructType([*_snapshot_schema(stored).fields, T.StructField(RESCUED, T.StringType())])
+    bronze = scan.stream(spark, f"{settings.bronze}/{flows.BATCH}*", landed, files_per_batch=files_per_batch)
     flows.upsert_snapshot(
         quality.expect_or_drop(bronze, settings.rules),
         settings.silver,
         f"{settings.checkpoints}/silver",
         settings.keys,
-        settings.order,
+        [*settings.order, ARRIVAL],
         partition_by=_history_partition(settings),
+        delete_when=settings.delete_when,
         drop=[RESCUED],
     )
     name_layers(spark, settings, schema)
     snapshots.expire(spark, settings.silver, _history_partition(settings), settings.keep_versions)
-    return quality.observed_counts(progress, settings.rules)
+    if newest > before:
+        # An empty folder is the mark that the counts up to this micro-batch were returned.
+        spark.createDataFrame([], "rule string").write.mode("overwrite").parquet(flows.batch_folder(finished, newest))
+    return result
 
 
 def name_layers(spark: SparkSession, settings: Settings, schema: T.StructType = ACTIVITY) -> None:
@@ -116,11 +141,14 @@ def _refresh(
         rows = rows.where(F.col(DATE) >= F.lit(since))
     # Silver that has the keys of the table is copied day by day without a shuffle.
     same_keys = set(settings.keys) == set(OFFLINE_KEYS)
-    if same_keys:
+    if set(settings.keys) <= set(OFFLINE_KEYS):
         rows = rows.select(*TRAINING_COLUMNS)
     else:
         rows = features.training_rows(rows, OFFLINE_KEYS, settings.order)
-    if rows.isEmpty():
+    if since and feature_tables.table_exists(spark, name):
+        # Days that silver no longer has, emptied by deletes.
+        feature_tables.drop_vanished(spark, name, silver(spark, settings, schema), DATE, since)
+    if silver(spark, settings, schema).where(F.col(DATE) >= F.lit(since) if since else F.lit(True)).isEmpty():
         return False
     feature_tables.ensure_schema(spark, settings.offline_schema, settings.root)
     feature_tables.update_table(

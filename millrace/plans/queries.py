@@ -414,15 +414,10 @@ def dq_expect_or_drop_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dq_metrics_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """Rule counts a stream reports while it runs: two numbers per rule."""
+    """Rule counts a stream stores per micro-batch: two numbers per rule."""
     root = run_folder(spark, "counts")
-    rows = quality.observe_rules(_raw_stream(spark, sf), ACTIVITY_RULES)
-    progress = flows.append_files(rows, f"{root}/table", f"{root}/checkpoint")
-    counts = quality.observed_counts(progress, ACTIVITY_RULES)
-    return spark.createDataFrame(
-        [(rule, c["passed"], c["failed"]) for rule, c in counts.items()],
-        "rule string, passed bigint, failed bigint",
-    )
+    flows.count_rules(_raw_stream(spark, sf), ACTIVITY_RULES, f"{root}/counts", f"{root}/checkpoint")
+    return flows.stored_counts(spark, f"{root}/counts", ACTIVITY_RULES)
 
 
 def _silver_stream(spark: SparkSession, sf: str, keys: list[str], partition_by: list[str]) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.schema import CUSTOMER, DATE, PREDICTION, PREDICTION_DATE, RESCUED, TARGET
+from millrace.schema import ARRIVAL, CUSTOMER, DATE, PREDICTION, PREDICTION_DATE, RESCUED, TARGET
 
 EVENTS_AS_OF = date(2024, 1, 31)
 ORDERS_AS_OF = date(2001, 8, 1)
@@ -75,6 +75,7 @@ def raw_events(e: DataFrame) -> DataFrame:
         F.col("ts").cast("date").cast("string").alias(DATE),
         (F.col("event_type") == "purchase").cast("int").alias(TARGET),
         F.when(i % 37 == 0, F.col("props")).alias("props"),
+        *[c for c in e.columns if c == ARRIVAL],
     )
 
 

@@ -11,6 +11,7 @@ DATE = "date"
 CUSTOMER = "customer_number"
 TARGET = "target"
 RESCUED = "_rescued_data"
+ARRIVAL = "_arrival"
 PREDICTION = "prediction"
 PREDICTION_DATE = "prediction_date"
 NUMERICAL = ["feature1", "feature2", "feature3"]
@@ -64,7 +65,10 @@ class Settings:
     root: str
     table: str = "activity"
     keys: list[str] = field(default_factory=lambda: list(OFFLINE_KEYS))
+    # Order of the rows of one key; rows that tie are ordered by their arrival.
     order: list[str] = field(default_factory=lambda: [DATE])
+    # Condition of a row that deletes its key.
+    delete_when: str | None = None
     rules: dict[str, str] = field(default_factory=lambda: dict(ACTIVITY_RULES))
     layer_schema: str = "default"
     offline_schema: str = "offline"

@@ -10,11 +10,12 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.operators.latest import latest_by_key
 from millrace.sources.exists import table_exists
 
 
@@ -24,7 +25,7 @@ class KeyViolation(ValueError):
 
 def ensure_schema(spark: SparkSession, schema: str, root: str | None = None) -> None:
     """Create the database of the tables, below ``root`` when given."""
-    place = f" LOCATION '{root}/{schema}'" if root else ""
+    place = f" LOCATION {quoted(f'{root}/{schema}')}" if root else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}`{place}")
 
 
@@ -163,6 +164,29 @@ def replace_partitions(
         spark.sql(f"DROP TABLE {staged}")
 
 
+def drop_vanished(spark: SparkSession, name: str, source: DataFrame, column: str, since: date) -> None:
+    """Drop the days of a table partitioned by ``column``, from ``since`` on, that ``source`` has no row of."""
+    days = source.where(F.col(column) >= F.lit(since)).select(column).distinct().collect()
+    left = {str(r[0]) for r in days}
+    data = properties(spark, name)["data"]
+    for row in spark.sql(f"SHOW PARTITIONS {data}").collect():
+        day = row["partition"].split("=", 1)[1]
+        if day >= str(since) and day not in left:
+            spark.sql(f"ALTER TABLE {data} DROP PARTITION (`{column}` = {quoted(day)})")
+    spark.sql(f"REFRESH TABLE {data}")
+
+
+def merge_rows(df: DataFrame, name: str, keep: int = 2, check: bool = True) -> None:
+    """Replace the rows whose key ``df`` has, add its other rows, keep the rest of the table."""
+    spark = df.sparkSession
+    keys = [k for k in properties(spark, name)["keys"].split(",") if k]
+    if check:
+        check_keys(df, keys)
+    new = "_new"
+    both = spark.table(name).withColumn(new, F.lit(False)).unionByName(df.withColumn(new, F.lit(True)))
+    replace_table(latest_by_key(both, keys, [new], drop=[new]), name, keep, check=False)
+
+
 def update_table(
     df: DataFrame,
     name: str,
@@ -177,19 +201,21 @@ def update_table(
 ) -> None:
     """Create the table, or replace its contents when it exists; optionally publish it.
 
-    ``mode`` is "overwrite" for the whole contents or "partitions" for the partitions in
-    ``df``. ``publish`` is called with the stored table. ``check=False`` skips the shuffle
+    ``mode`` is "overwrite" for the whole contents, "partitions" for the partitions in ``df`` or
+    "merge" for the keys in ``df``. ``publish`` is called with the stored table. ``check=False`` skips the shuffle
     that proves the keys unique, for data that comes out of a grouping by these keys.
     ``rebalance=False`` skips the shuffle that gathers the rows of a partition, for data read
     from files that already hold one partition each.
     """
     spark = df.sparkSession
-    if mode not in ("overwrite", "partitions"):
+    if mode not in ("overwrite", "partitions", "merge"):
         raise ValueError(f"unknown mode {mode!r}")
     if not table_exists(spark, name):
         create_table(df, name, keys, partition_by, description, check, rebalance)
     elif mode == "overwrite":
         replace_table(df, name, keep, check, rebalance)
+    elif mode == "merge":
+        merge_rows(df, name, keep, check)
     else:
         replace_partitions(df, name, check, rebalance)
     if publish is not None:

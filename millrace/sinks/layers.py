@@ -20,12 +20,12 @@ def _columns(schema: T.StructType) -> str:
 def name_folder(
     spark: SparkSession, name: str, path: str, schema: T.StructType, comment: str, quality: str
 ) -> None:
-    """A table over a folder a stream appends to."""
+    """A table over a folder a stream adds to, in folders of its micro-batches."""
     if table_exists(spark, name):
         spark.sql(f"REFRESH TABLE {name}")
         return
     spark.sql(
-        f"CREATE TABLE {name} ({_columns(schema)}) USING parquet LOCATION {quoted(path)} "
+        f"CREATE TABLE {name} ({_columns(schema)}) USING parquet OPTIONS (recursiveFileLookup 'true') LOCATION {quoted(path)} "
         f"COMMENT {quoted(comment)} TBLPROPERTIES ('quality' = {quoted(quality)})"
     )
 

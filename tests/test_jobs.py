@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from millrace.models.registry import Registry
 from millrace.plans import jobs
-from millrace.schema import ACTIVITY, Settings
+from millrace.schema import ACTIVITY, RESCUED, Settings
 from millrace.sinks import publish
 
 AS_OF = date(2024, 8, 30)
@@ -101,6 +101,57 @@ def test_rule_counts_of_a_run(spark, tmp_path):
     }
 
 
+SOME = "customer_number int, feature1 double, date date, target int"
+
+
+@pytest.mark.parametrize("names", [("a", "b", "c"), ("c", "b", "a")])
+def test_files_of_differing_schemas(spark, tmp_path, names):
+    settings = Settings(root=str(tmp_path), layer_schema=f"jobs_mixed_{names[0]}")
+    day = date(2024, 5, 1)
+    files = [
+        ([(4, 1.5, day, 0)], SOME),
+        ([(5, 2.5, day, 1, "x")], SOME + ", more string"),
+        ([("6", 3.5, day), ("six", 4.5, day)], "customer_number string, feature1 double, date date"),
+    ]
+    for name, (data, schema) in zip(names, files):
+        spark.createDataFrame(data, schema).coalesce(1).write.parquet(str(tmp_path / "made" / name))
+    raw = tmp_path / "raw" / "activity"
+    raw.mkdir(parents=True)
+    assert jobs.run_medallion(spark, settings)["customer_number"] == {"passed": 0, "failed": 0}
+    for group in (names[:2], names[2:]):
+        for name in group:
+            made = next((tmp_path / "made" / name).glob("*.parquet"))
+            (raw / f"{name}.parquet").write_bytes(made.read_bytes())
+        jobs.run_medallion(spark, settings)
+    bronze = spark.table(settings.bronze_table).select("customer_number", "feature1", "target", RESCUED)
+    assert rows(bronze) == rows(
+        spark.createDataFrame(
+            [(4, 1.5, 0, None), (5, 2.5, 1, '{"more":"x"}'), (6, 3.5, None, None), (None, 4.5, None, '{"customer_number":"six"}')],
+            bronze.schema,
+        )
+    )
+    assert rows(jobs.silver(spark, settings), "customer_number", "feature1") == [(4, 1.5), (6, 3.5)]
+
+
+def test_a_later_row_of_the_same_day_corrects_and_deletes(spark, tmp_path):
+    settings = Settings(
+        root=str(tmp_path), layer_schema="jobs_later", offline_schema="jobs_later_off", delete_when="target < 0"
+    )
+    day, other = date(2024, 5, 1), date(2024, 5, 2)
+    runs = [
+        [(1, 50.0, day, 0), (2, 60.0, day, 0), (3, 70.0, day, 0), (9, 1.0, other, 0)],
+        [(1, 10.0, day, 0), (2, None, day, 0), (9, 1.0, other, -1)],
+    ]
+    for data in runs:
+        spark.createDataFrame(data, SOME).coalesce(1).write.mode("append").parquet(settings.raw)
+        jobs.run_medallion(spark, settings)
+        assert jobs.refresh_training_table(spark, settings, since=day)
+    expected = [(1, 10.0), (2, None), (3, 70.0)]
+    assert sorted((r[0], r[1]) for r in jobs.silver(spark, settings).select("customer_number", "feature1").collect()) == expected
+    # The day emptied by the delete has left the refreshed table too.
+    assert sorted((r[0], r[1]) for r in spark.table(settings.training).select("customer_number", "feature1").collect()) == expected
+
+
 def test_train_score_evaluate(spark, installed):
     registry = Registry(spark, installed.registry)
     # No model yet: scoring trains one first.

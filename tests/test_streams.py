@@ -50,14 +50,40 @@ def test_files_are_ingested_once_across_restarts(spark, tmp_path, history):
 def test_stream_and_batch_give_the_same_checked_rows_and_counts(spark, tmp_path, history):
     raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
     arrive(spark, history, raw, 4)
-    seen = quality.observe_rules(scan.stream(spark, raw, files_per_batch=1), ACTIVITY_RULES)
-    progress = flows.append_files(quality.expect_or_drop(seen, ACTIVITY_RULES), out, str(tmp_path / "mark"))
+    stream = scan.stream(spark, raw, files_per_batch=1)
+    flows.append_files(quality.expect_or_drop(stream, ACTIVITY_RULES), out, str(tmp_path / "mark"))
+    counts = str(tmp_path / "counts")
+    flows.count_rules(stream, ACTIVITY_RULES, counts, str(tmp_path / "counted"))
     batch = spark.createDataFrame(history, SCHEMA)
     assert rows(spark.read.parquet(out)) == rows(quality.expect_or_drop(batch, ACTIVITY_RULES))
-    counts = quality.observed_counts(progress, ACTIVITY_RULES)
-    assert sorted((r, c["passed"], c["failed"]) for r, c in counts.items()) == rows(
-        quality.rule_counts(batch, ACTIVITY_RULES)
-    )
+    assert rows(flows.stored_counts(spark, counts, ACTIVITY_RULES)) == rows(quality.rule_counts(batch, ACTIVITY_RULES))
+
+
+def test_another_checkpoint_is_refused(spark, tmp_path, history):
+    raw, out, silver = (str(tmp_path / n) for n in ("raw", "out", "silver"))
+    arrive(spark, history, raw, 2)
+    for mark in ("first", "second"):
+        place = str(tmp_path / mark)
+        writes = [
+            lambda: flows.append_files(scan.stream(spark, raw), out, f"{place}/a"),
+            lambda: flows.upsert_snapshot(
+                quality.expect_or_drop(scan.stream(spark, raw), ACTIVITY_RULES),
+                silver, f"{place}/b", ["customer_number"], ["date", "seq"], drop=[RESCUED],
+            ),
+        ]
+        for write in writes:
+            if mark == "first":
+                write()
+            else:
+                with pytest.raises(ValueError, match="another checkpoint"):
+                    write()
+
+
+def test_an_order_within_the_keys_is_refused(spark, tmp_path, history):
+    arrive(spark, history, str(tmp_path / "raw"), 1)
+    stream = scan.stream(spark, str(tmp_path / "raw"))
+    with pytest.raises(ValueError, match="outside the keys"):
+        flows.upsert_snapshot(stream, str(tmp_path / "s"), str(tmp_path / "m"), ["date", "customer_number"], ["date"])
 
 
 @pytest.mark.parametrize(
