@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date, timedelta
 
 from pyspark.ml.functions import vector_to_array
@@ -352,13 +353,9 @@ def ohe_features(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _order_features(spark: SparkSession, sf: str) -> DataFrame:
-    rows = features.training_features(
+    return features.training_features(
         views.activity_orders(spark, sf), views.ORDERS_AS_OF, ORDER_ORDER, sum_digits=2
     )
-    # Prices in units of 100,000: an optimizer without feature scaling converges on them.
-    return rows.withColumns(
-        {"feature1": F.col("feature1") / 1e5, "feature2": F.col("feature2") / 10, "feature3": F.col("feature3") / 1e5}
-    )
 
 
 def train_logistic(spark: SparkSession, sf: str) -> DataFrame:
@@ -420,11 +417,13 @@ def dq_metrics_stream(spark: SparkSession, sf: str) -> DataFrame:
     return flows.stored_counts(spark, f"{root}/counts", ACTIVITY_RULES)
 
 
-def _silver_stream(spark: SparkSession, sf: str, keys: list[str], partition_by: list[str]) -> DataFrame:
+def _silver_stream(
+    spark: SparkSession, sf: str, keys: list[str], partition_by: list[str], delete_when: str | None = None
+) -> DataFrame:
     root = run_folder(spark, "silver")
     rows = quality.expect_or_drop(_raw_stream(spark, sf), ACTIVITY_RULES)
     flows.upsert_snapshot(
-        rows, f"{root}/table", f"{root}/checkpoint", keys, EVENT_ORDER, partition_by, drop=[RESCUED]
+        rows, f"{root}/table", f"{root}/checkpoint", keys, EVENT_ORDER, partition_by, delete_when, drop=[RESCUED]
     )
     return snapshots.read_snapshot(spark, f"{root}/table", views.EVENT_ACTIVITY, partition_by)
 
@@ -437,6 +436,10 @@ def silver_scd1_daily_stream(spark: SparkSession, sf: str) -> DataFrame:
     return _silver_stream(spark, sf, [DATE, CUSTOMER], [DATE])
 
 
+def silver_deletes_stream(spark: SparkSession, sf: str) -> DataFrame:
+    return _silver_stream(spark, sf, [CUSTOMER], [], delete_when="feature4 = 'error'")
+
+
 # --- jobs ----------------------------------------------------------------------------
 
 
@@ -446,6 +449,51 @@ def run_medallion(spark: SparkSession, sf: str) -> DataFrame:
     return scan.table(spark, settings.silver_table)
 
 
+def bronze_mixed_schemas(spark: SparkSession, sf: str) -> DataFrame:
+    """Files with a column too many, with a key as text and without a column, over two runs."""
+    settings = replace(_settings(spark, sf, "mixed"), raw_path=run_folder(spark, "mixed-raw"))
+    rows, i = views.activity_events(spark, sf).drop(RESCUED), F.col("event_id")
+    number = F.col(CUSTOMER).cast("string")
+    parts = [
+        [
+            rows.where(i % 3 == 0).withColumn("extra", F.when(i % 2 == 0, F.col("feature4"))),
+            rows.where(i % 3 == 1).withColumn(
+                CUSTOMER, F.when(i % 41 == 0, F.concat(F.lit("u"), number)).otherwise(number)
+            ),
+        ],
+        [rows.where(i % 3 == 2).drop("target")],
+    ]
+    for run in parts:
+        for part in run:
+            part.write.mode("append").parquet(settings.raw)
+        jobs.run_medallion(spark, settings, views.EVENT_ACTIVITY)
+    return scan.table(spark, settings.bronze_table)
+
+
+def silver_same_day_correction(spark: SparkSession, sf: str) -> DataFrame:
+    """Default keys and order: rows of a second run correct those of the first for the same day."""
+    settings = replace(_settings(spark, sf, "correct"), raw_path=run_folder(spark, "correct-raw"), order=[DATE])
+    rows, i = _checked(spark, sf).drop(RESCUED), F.col("event_id")
+    later = F.when(i % 3 != 0, F.col("feature1") - 1000)
+    for part in (rows.where(i % 2 == 0), rows.where(i % 2 == 1).withColumn("feature1", later)):
+        day = latest_by_key(part, [DATE, CUSTOMER], EVENT_ORDER)
+        day.write.mode("append").parquet(settings.raw)
+        jobs.run_medallion(spark, settings, views.EVENT_ACTIVITY)
+    return scan.table(spark, settings.silver_table)
+
+
+def feature_table_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """Create from the first weeks, then merge by key the rows from the 10th on."""
+    settings = _settings(spark, sf, "merge")
+    feature_tables.ensure_schema(spark, settings.offline_schema, settings.root)
+    rows = features.training_rows(_checked(spark, sf), order=EVENT_ORDER)
+    early = scan.between(rows, date(2024, 1, 1), date(2024, 1, 15)).withColumn("feature1", -F.col("feature1"))
+    late = scan.between(rows, date(2024, 1, 10), None)
+    for df in (early, late):
+        feature_tables.update_table(df, settings.training, [DATE, CUSTOMER], [DATE], mode="merge", check=False)
+    return scan.table(spark, settings.training)
+
+
 def refresh_training_table(spark: SparkSession, sf: str) -> DataFrame:
     settings = _settings(spark, sf, "training")
     _medallion(spark, settings)
@@ -493,6 +541,7 @@ QUERIES: dict[str, Query] = {
         registry_roundtrip, registry_latest_run, registry_latest_runs, registry_stage,
         bronze_stream_ingest, dq_expect_or_drop_stream, dq_metrics_stream,
         silver_scd1_stream, silver_scd1_daily_stream, run_medallion, refresh_training_table,
-        refresh_online_features, score_and_evaluate,
+        refresh_online_features, score_and_evaluate, silver_deletes_stream, bronze_mixed_schemas,
+        silver_same_day_correction, feature_table_merge,
     )
 }

@@ -242,6 +242,28 @@ SELECT '_rescued_data', CAST(count(*) - count(_rescued_data) AS BIGINT), CAST(co
     + _newest("ok", "date, customer_number", "event_id", EVENT_COLUMNS),
     "run_medallion": f"WITH {RAW_CHECKED} "
     + _newest("ok", "date, customer_number", "event_id", EVENT_COLUMNS),
+    "silver_deletes_stream": f"WITH {RAW_CHECKED} SELECT * FROM ("
+    + _newest("ok", "customer_number", "event_id", EVENT_COLUMNS)
+    + ") WHERE feature4 <> 'error'",
+    "bronze_mixed_schemas": f"""
+WITH {EVENTS}
+SELECT * REPLACE (
+  CASE WHEN event_id % 3 = 1 AND event_id % 41 = 0 THEN NULL ELSE customer_number END AS customer_number,
+  CASE WHEN event_id % 3 <> 2 THEN target END AS target,
+  CASE WHEN event_id % 6 = 0 THEN '{{"extra":"' || feature4 || '"}}'
+       WHEN event_id % 3 = 1 AND event_id % 41 = 0 AND event_id % 50 <> 0
+       THEN '{{"customer_number":"u' || customer_number || '"}}' END AS _rescued_data)
+FROM ev""",
+    "silver_same_day_correction": f"WITH {CHECKED}, "
+    "runs AS (SELECT * FROM ok QUALIFY row_number() OVER "
+    "(PARTITION BY date, customer_number, event_id % 2 ORDER BY event_id DESC) = 1), "
+    "kept AS (SELECT * FROM runs QUALIFY row_number() OVER "
+    "(PARTITION BY date, customer_number ORDER BY event_id % 2 DESC) = 1) "
+    f"SELECT {EVENT_COLUMNS} FROM (SELECT * REPLACE (CASE WHEN event_id % 2 = 0 THEN feature1 "
+    "WHEN event_id % 3 <> 0 THEN feature1 - 1000 END AS feature1) FROM kept)",
+    "feature_table_merge": f"WITH {CHECKED}, daily AS ("
+    + _newest("ok", "date, customer_number", "event_id", COLUMNS)
+    + ") SELECT * REPLACE (CASE WHEN date < DATE '2024-01-10' THEN -feature1 ELSE feature1 END AS feature1) FROM daily",
     "scd1_out_of_order": f"WITH {ORDERS} " + _newest("od", "customer_number", "order_key"),
     "scd1_deletes": f"WITH {CHECKED} SELECT * FROM ("
     + _newest("ok", "customer_number", "event_id", EVENT_COLUMNS)
