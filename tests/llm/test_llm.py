@@ -111,6 +111,15 @@ def test_byte_bpe(spark):
     assert bpe.decode(encode("naïve 😀 text")) == "naïve 😀 text"
 
 
+def test_matches_longer_than_a_look():
+    encode = tiktoken_ids("byte_bpe_multi_50k.tiktoken")
+    machine = bpe.Transducer(bpe.read_ranks(bpe.vocabulary()))
+    for unit in ("a", "ab", "=", "日", "thein"):
+        text = unit * (2 * bpe.LOOK // len(unit.encode()) + 3)
+        if len(bpe.matches(bpe._pattern())(text)) == 1:
+            assert machine.encode(text.encode()) == encode(text)
+
+
 def test_utf8_machine():
     data = "aé😀z".encode()
     machine = bpe.Utf8()
