@@ -160,8 +160,12 @@ def test_packing(spark):
     assert collections.Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == wanted
 
 
-def test_best_fit_is_tight(spark):
-    sizes = [(i, 1 + (i * i * 37) % 99) for i in range(3000)] + [(5000 + i, 50) for i in range(1000)]
+@pytest.mark.parametrize("sizes", [
+    [(i, 1 + (i * i * 37) % 99) for i in range(3000)] + [(5000 + i, 50) for i in range(1000)],
+    [(i, 1 + i % 7) for i in range(6000)],
+    [(i, 3) for i in range(2000)],
+], ids=["all sizes", "small", "equal"])
+def test_best_fit_is_tight(spark, sizes):
     got = packing.best_fit(spark.createDataFrame(sizes, "id bigint, size int"), 100).collect()
     size = dict(sizes)
     assert sorted(r.id for r in got) == sorted(size)
