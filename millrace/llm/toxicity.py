@@ -13,7 +13,7 @@ values against the landmarks, times the inverse root of the landmarks' kernel ma
 fixed landmarks the decision is one weighted sum over letter triples, and it is applied so.
 
 A witness is in more toxic documents than chance explains, given how many words there are; of
-copies one document counts. A document scores by the highest margin of its
+copies (documents of a class that share ``COPY`` of their words) one document counts. A document scores by the highest margin of its
 words, turned into a probability on the labelled sample. Empty and NULL texts have no word and
 get the lowest score.
 """
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import batch_of, chunks, drawn, held_out, sample_share, utf8
+from millrace.llm.common import batch_of, chunks, drawn, held_out, mix64, sample_share, utf8
 from millrace.llm.language import code_points
 
 SPAN = 5
@@ -46,6 +46,10 @@ STEPS = [(i, j) for i in range(1, SPAN - 1) for j in range(i + 1, SPAN)]
 _signs = re.compile(r"[\W\d_]+")
 _sentence = re.compile(r"[.!?\n]+")
 LOWEST = -4.0
+#: Share of their common words from which two documents are copies, and least hashes in a band.
+COPY = 0.8
+BAND = 4
+_salts = mix64(np.arange(1, 65, dtype=np.uint64))
 
 
 def tokens(text: str | None) -> list[str]:
@@ -243,10 +247,29 @@ def _line(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return max(float(w[0]), 1e-3), float(w[1])
 
 
-def _marks(words: set[str]) -> set[tuple[int, int]]:
-    """Three least hashes of the longer words; copies of a document share one nearly always."""
-    codes = [zlib.crc32(w.encode()) for w in words if len(w) > 5]
-    return {(k, min(c * odd & 0xFFFFFFFF for c in codes)) for k, odd in enumerate((1, 0x9E3779B1, 0x85EBCA6B))} if codes else set()
+class Copies:
+    """Word sets counted so far; a copy shares ``COPY`` of all words with one of them."""
+
+    def __init__(self) -> None:
+        self.sets: list[np.ndarray] = []
+        self.bands: dict[tuple, list[int]] = defaultdict(list)
+
+    def new(self, words: set[str]) -> bool:
+        """Whether the words are no copy; they are kept if so. A document without words is none."""
+        if not words:
+            return True
+        own = np.unique(np.array([zlib.crc32(w.encode()) for w in words], np.uint64))
+        least = mix64(own[:, None] ^ _salts[None, :]).min(axis=0).reshape(-1, BAND)
+        # Bands of least hashes only name candidates: a set this alike lacks all of them once in 5,000 times.
+        keys = [(i, *band) for i, band in enumerate(least.tolist())]
+        for i in {i for k in keys for i in self.bands.get(k, ())}:
+            both = len(np.intersect1d(own, self.sets[i], assume_unique=True))
+            if both >= COPY * (len(own) + len(self.sets[i]) - both):
+                return False
+        for k in keys:
+            self.bands[k].append(len(self.sets))
+        self.sets.append(own)
+        return True
 
 
 def fit(rows: pd.DataFrame, landmarks: int = 240, words: int = 6_000, cost: float = 1.0) -> Machine:
@@ -254,15 +277,13 @@ def fit(rows: pd.DataFrame, landmarks: int = 240, words: int = 6_000, cost: floa
     y = rows["toxic"].to_numpy(float)
     if not len(y) or y.min() == y.max():
         return Machine(slope=1e-3, shift=0.0 if not len(y) else (6.0 if y[0] else -6.0))
-    inside, outside, seen = Counter(), Counter(), set()
+    inside, outside, seen = Counter(), Counter(), {0: Copies(), 1: Copies()}
     n1 = n0 = 0
     for text, label in zip(rows["text"], y):
         own = set(tokens(text))
-        marks = {(label, m) for m in _marks(own)}
-        if not marks & seen:
+        if seen[int(label > 0)].new(own):
             (inside if label else outside).update(w for w in own if len(w) <= 2 * WINDOW)
             n1, n0 = n1 + bool(label), n0 + (not label)
-        seen |= marks
     # How unlikely is it that a word as frequent falls so much on the toxic side by chance? The
     # number of words that are tried is allowed for.
     base = -math.log(n1 / (n1 + n0))

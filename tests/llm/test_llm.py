@@ -8,6 +8,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -300,6 +301,29 @@ def test_held_out_accuracy(spark):
     assert scored.agg(F.avg((F.col("toxic") == F.col("predicted")).cast("int"))).first()[0] > 0.93
 
 
+def test_unlike_documents_all_count():
+    rng = np.random.default_rng(5)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnop"), 8))
+    common = [word() for _ in range(8)]
+    made = [[*common, *(word() for _ in range(30))] for _ in range(120)]
+    seen = toxicity.Copies()
+    assert all(seen.new(set(m)) for m in made) and not any(seen.new({*m[1:], "changed"}) for m in made)
+    texts = [" ".join([*m, "blockhead"] if i < 40 else m) for i, m in enumerate(made)]
+    machine = toxicity.fit(pd.DataFrame({"text": texts, "toxic": [int(i < 40) for i in range(120)]}))
+    fresh = [" ".join([word() for _ in range(20)] + own) for own in ([], ["blockhead"])]
+    p = machine.probability(machine.compiled().of_words(fresh))
+    assert p[0] < toxicity.THRESHOLD <= p[1]
+
+
+@needs_tables
+def test_held_out_toxic_class(spark):
+    folder = TABLES.replace("0.001", "0.1")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    found = QUERIES["op10_toxicity"](spark, folder).where("held_out").join(labels, "doc_id")
+    both, toxic, flagged = found.agg(F.sum(F.col("toxic") * F.col("predicted")), F.sum("toxic"), F.sum("predicted")).first()
+    assert both >= 0.92 * toxic and both >= 0.65 * flagged
+
+
 EMPTY = [
     lambda s, d: language.language_id(d), lambda s, d: language.accepted(d), lambda s, d: ngram_join.similar_documents(d),
     lambda s, d: bpe.round_trip(d), lambda s, d: packing.pack(d), lambda s, d: licenses.license_findings(d),
