@@ -271,6 +271,36 @@ def test_licenses(spark):
     ]
 
 
+def test_licenses_across_lines_and_in_long_lines(spark):
+    bsd = "Redistribution and use in source and binary forms, with or without\n# modification, are permitted"
+    gnu = "/* This program is free software; you can redistribute it and/or modify\n * it under the terms of the GNU General Public License as published by\n" \
+        " * the Free Software Foundation; either version 2 of the License, or\n * (at your option) any later version. */"
+    pairs = [
+        (1, "# Licensed under the Apache License,\n# Version 2.0."), (2, bsd), (3, gnu),
+        (4, "copyright " + "x" * 240 + " " + bsd.replace("\n#", "") + " word" * 200),
+        (5, "my license " + "word " * 45 + "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. " + "word " * 200),
+        (6, "All rights reserved. Some words between. All rights reserved."),
+        (7, "This work is licensed under the GNU Lesser General\nPublic License, version 3."),
+        (8, "redistribution of licenses, version 2 0, may be permitted under all rights of the public"),
+    ]
+    found = sorted((r.doc_id, r.license) for r in licenses.license_findings(docs(spark, pairs)).collect())
+    assert found == [
+        (1, "Apache-2.0"), (2, "BSD-3-Clause"), (3, "GPL-2.0"), (4, "BSD-3-Clause"), (5, "MPL-2.0"), (6, "ARR"), (6, "ARR"), (7, "LGPL-3.0"),
+    ]
+
+
+def test_full_license_texts():
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    for name, text, tells in licenses.full_texts():
+        words = text.split()
+        wrapped = "\n * ".join(" ".join(words[i : i + 9]) for i in range(0, len(words), 9))
+        changed = " ".join("changed" if i % 10 == 7 and w.lower().strip(",.") not in tells.split() else w for i, w in enumerate(words))
+        for made, n in ((text, 1), (" ".join(words) + " and then " + wrapped, 2), (changed, 1)):
+            assert [f[1] for f in scanner.findings(made)] == [name] * n
+    for name, text, _ in licenses.TEMPLATES:
+        assert [f[1] for f in scanner.findings("a b c " + text + " d e f")] == [name]
+
+
 def test_awkward_rows_for_trained_operators(spark):
     found = {r.doc_id: r for r in language.language_id(docs(spark, AWKWARD)).collect()}
     assert found[1].lang_pred == found[2].lang_pred == found[3].lang_pred == "und" and found[6].lang_pred == "en"
