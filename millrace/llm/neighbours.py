@@ -9,7 +9,11 @@ smallest angle.
 How far to ascend is measured: for ``probes`` queries the true neighbours are found by brute force,
 and a bounded sample of rows tells how many rows stand before each of them in the best tree. All rows
 are indexed. Equal vectors are indexed once, with the smallest ids that can come into a result.
-The trees are cut into ranges by quantiles of the sample; a query also visits the ranges next to its own.
+The trees are cut into ranges of about ``RANGE`` rows by order statistics of the sample; rows of one hash string that fills
+several ranges are dealt over them by a salt. A query visits as many ranges on either side as hold the rows it ascends to.
+
+Where all trees together would give more rows than there are (on vectors with little structure), the forest is dearer than
+scoring every row: then blocks of queries are scored against blocks of all rows, and the result is exact.
 
 Vectors that are NULL, zero, hold NULL or non-finite components, or lack the most common dimension take no part.
 Repeated rows of one id with the same vector count once; ties go to the smaller id.
@@ -24,11 +28,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import batch_of, drawn
+from millrace.llm.common import batch_of, drawn, mix64
 from millrace.workspace import stored
 
 BITS = 64
 RANGE = 50_000
+#: Queries scored in one task at most, row blocks at least, and queries multiplied at once.
+QUERIES = 20_000
+BLOCKS = 24
+STRIP = 32
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -64,8 +72,31 @@ class Forest:
         packed = np.packbits(signs.reshape(len(v), self.trees, BITS), axis=2)
         return np.ascontiguousarray(packed).view(">u8")[:, :, 0].astype(np.uint64)
 
-    def range_of(self, tree: int, hashes: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.cuts[tree], hashes, side="right")
+    def cut(self, sample: np.ndarray, total: int) -> int:
+        """Cut all trees by the hashes of a sample of ``total`` rows; the number of ranges."""
+        ranges = max(1, -(-total // RANGE))
+        ordered = np.sort(sample, axis=0)
+        at = np.arange(1, ranges) * len(ordered) // ranges
+        self.cuts = [ordered[at, t] for t in range(self.trees)]
+        return ranges
+
+    def span(self, tree: int, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First and last range that hold rows of each hash."""
+        return tuple(np.searchsorted(self.cuts[tree], hashes, side=side) for side in ("left", "right"))
+
+    def range_of(self, tree: int, hashes: np.ndarray, salts: np.ndarray) -> np.ndarray:
+        """The range of each row; rows of a hash that fills several are dealt over them."""
+        first, last = self.span(tree, hashes)
+        return first + (salts % (last - first + 1).astype(np.uint64)).astype(np.int64)
+
+    def visited(self, tree: int, hashes: np.ndarray, rows_each: int) -> tuple[np.ndarray, np.ndarray]:
+        """Number of the query, and range, for all ranges that queries visit."""
+        first, last = self.span(tree, hashes)
+        reach = -(-rows_each // RANGE)
+        first, last = np.maximum(first - reach, 0), np.minimum(last + reach, len(self.cuts[tree]))
+        query = np.repeat(np.arange(len(hashes)), last - first + 1)
+        begin = np.cumsum(last - first + 1) - (last - first + 1)
+        return query, first[query] + np.arange(len(query)) - begin[query]
 
 
 def exact_scores(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
@@ -76,6 +107,15 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -scores))[:k]
 
 
+def _pairs(score: np.ndarray, rows: np.ndarray, ids: list, query: np.ndarray, own: int, k: int) -> list[tuple[float, int]]:
+    """The ``k`` best (score, id) of ``rows`` for a query; ``score`` is theirs but for rounding."""
+    best = np.flatnonzero(score >= np.partition(score, -min(k + 1, len(score)))[-min(k + 1, len(score))] - 1e-9)
+    exact = exact_scores(rows[best], query)
+    pairs = [(s, m) for s, j in zip(exact, best) for m in ids[j] if m != own]
+    pairs.sort(key=lambda x: (-x[0], x[1]))
+    return pairs[:k]
+
+
 def _prefix_bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Length of the common prefix of hash strings."""
     x = a ^ b
@@ -121,9 +161,13 @@ def depth(forest: Forest, sample: np.ndarray, total: int, queries: np.ndarray, o
 
 
 def neighbours(
-    vectors: DataFrame, k: int = 20, every: int = 20, trees: int = 24, probes: int = 64, sample: int = 20_000, recall: float = 0.97
+    vectors: DataFrame, k: int = 20, every: int = 20, trees: int = 24, probes: int = 64, sample: int = 20_000, recall: float = 0.97,
+    blocks: bool | None = None,
 ) -> DataFrame:
-    """Rows (query_id, rank, vec_id, score): for each row whose id is divisible by ``every`` the ``k`` nearest others."""
+    """Rows (query_id, rank, vec_id, score): for each row whose id is divisible by ``every`` the ``k`` nearest others.
+
+    ``blocks``: score all rows in blocks, or go by the forest; by default whichever takes fewer rows.
+    """
     spark = vectors.sparkSession
     rows = usable(vectors)
     # A result needs no more than k + 1 members of a class of equal vectors.
@@ -142,38 +186,52 @@ def neighbours(
     tried = np.stack(asked.orderBy(drawn(F.col("vec_id"), "probes"), "vec_id").limit(probes).select("v").toPandas()["v"].to_numpy())
     owner, near = true_neighbours(classes, tried, k + 1)
     rows_each = max(depth(forest, picked, total, tried, owner, near, recall), k + 1)
-    ranges = -(-total // max(RANGE, 2 * rows_each))
-    hashed = forest.hashes(picked, False)
-    forest.cuts = [np.quantile(hashed[:, t].astype(np.float64), np.arange(1, ranges) / ranges).astype(np.uint64) if ranges > 1 else np.empty(0, np.uint64) for t in range(trees)]
+    if blocks is None:
+        blocks = trees * rows_each >= total
+    ranges = forest.cut(forest.hashes(picked, False), total)
     shared = spark.sparkContext.broadcast(forest)
     entry = pa.schema([("shard", pa.int64()), ("hash", pa.int64()), ("v", pa.list_(pa.float32())), ("w", pa.list_(pa.float64())), ("ids", pa.list_(pa.int64()))])
     single = not classes.where(F.exists("v", lambda x: x != x.cast("float").cast("double"))).limit(1).count()
 
+    def entered(shard: np.ndarray, hashes: np.ndarray, v: np.ndarray, ids: list, spot: np.ndarray) -> pa.RecordBatch:
+        flat = list(v[spot])
+        return batch_of({
+            "shard": shard, "hash": hashes[spot].view(np.int64), "v": flat if single else [None] * len(spot),
+            "w": [None] * len(spot) if single else flat, "ids": [ids[i] for i in spot],
+        }, entry)
+
+    row_blocks = max(BLOCKS, -(-total // RANGE))
+    query_blocks = max(1, -(-asked.count() // QUERIES)) if blocks else 1
+
+    def dealt(query: bool):
+        """Row blocks times query blocks; a row goes to all blocks of queries and a query to all blocks of rows."""
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                v, ids = matrix(batch.column("v")), batch.column("ids").to_pylist()
+                hashes = mix64(np.array([i[0] for i in ids], np.int64).view(np.uint64))
+                every = np.arange(len(v))
+                own = (hashes % np.uint64(query_blocks if query else row_blocks)).astype(np.int64)
+                for other in range(row_blocks if query else query_blocks):
+                    if len(v):
+                        yield entered(other * query_blocks + own if query else own * query_blocks + other, hashes, v, ids, every)
+        return run
+
     def index(query: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             forest = shared.value
             for batch in batches:
-                v = matrix(batch.column("v"))
+                v, ids = matrix(batch.column("v")), batch.column("ids").to_pylist()
                 hashes = forest.hashes(v, query) if len(v) else np.empty((0, forest.trees), np.uint64)
-                ids = batch.column("ids").to_pylist()
+                salts = mix64(np.array([i[0] for i in ids], np.int64).view(np.uint64))
                 for tree in range(forest.trees if len(v) else 0):
-                    own = hashes[:, tree]
-                    place = forest.range_of(tree, own)
-                    for step in (-1, 0, 1) if query else (0,):
-                        spot = place + step
-                        fits = np.flatnonzero((spot >= 0) & (spot < ranges))
-                        if len(fits):
-                            flat = list(v[fits])
-                            yield batch_of({
-                                "shard": tree * ranges + spot[fits], "hash": own[fits].view(np.int64),
-                                "v": flat if single else [None] * len(fits), "w": [None] * len(fits) if single else flat,
-                                "ids": [ids[i] for i in fits],
-                            }, entry)
+                    own = np.ascontiguousarray(hashes[:, tree])
+                    spot, place = forest.visited(tree, own, rows_each) if query else (np.arange(len(v)), forest.range_of(tree, own, salts))
+                    yield entered(tree * ranges + place, own, v, ids, spot)
         return run
 
     kind = "shard bigint, hash bigint, v array<float>, w array<double>, ids array<bigint>"
-    entries = classes.select("v", "ids").mapInArrow(index(False), kind)
-    wanted = asked.select("v", F.array("vec_id").alias("ids")).mapInArrow(index(True), kind)
+    entries = classes.select("v", "ids").mapInArrow((dealt if blocks else index)(False), kind)
+    wanted = asked.select("v", F.array("vec_id").alias("ids")).mapInArrow((dealt if blocks else index)(True), kind)
     result = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
     vector = "v" if single else "w"
 
@@ -185,20 +243,24 @@ def neighbours(
             hashes = hashes[order]
             rows = matrix(entries.column(vector).combine_chunks())[order]
             ids = entries.column("ids").to_pylist()
+            ids = [ids[i] for i in order]
             asked = wanted.column("hash").to_numpy().view(np.uint64)
+            queries = matrix(wanted.column(vector).combine_chunks())
             places = np.searchsorted(hashes, asked)
-            for i, (own, q) in enumerate(zip(wanted.column("ids").to_pylist(), matrix(wanted.column(vector).combine_chunks()))):
-                a, b = max(0, places[i] - rows_each), min(len(rows), places[i] + rows_each)
-                if b - a > rows_each:
-                    # Of both sides those with the longest prefixes.
-                    close = a + np.argsort(-_prefix_bits(hashes[a:b], asked[i]), kind="stable")[:rows_each]
-                    a, b = close.min(), close.max() + 1
-                score = rows[a:b] @ q
-                best = np.flatnonzero(score >= np.partition(score, -min(k + 1, len(score)))[-min(k + 1, len(score))] - 1e-9)
-                exact = exact_scores(rows[a + best], q)
-                pairs = [(s, m) for s, j in zip(exact, best) for m in ids[order[a + j]] if m != own[0]]
-                pairs.sort(key=lambda x: (-x[0], x[1]))
-                for s, m in pairs[:k]:
+            for i, own in enumerate(wanted.column("ids").to_pylist()):
+                a, b = 0, len(rows)
+                if blocks:
+                    if i % STRIP == 0:
+                        strip = queries[i : i + STRIP] @ rows.T
+                    score = strip[i % STRIP]
+                else:
+                    a, b = max(0, places[i] - rows_each), min(len(rows), places[i] + rows_each)
+                    if b - a > rows_each:
+                        # Of both sides those with the longest prefixes.
+                        close = a + np.argsort(-_prefix_bits(hashes[a:b], asked[i]), kind="stable")[:rows_each]
+                        a, b = close.min(), close.max() + 1
+                    score = rows[a:b] @ queries[i]
+                for s, m in _pairs(score, rows[a:b], ids[a:b], queries[i], own[0], k):
                     out["query_id"].append(own[0])
                     out["vec_id"].append(m)
                     out["score"].append(s)

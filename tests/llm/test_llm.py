@@ -259,6 +259,46 @@ def test_nearest_neighbours(spark):
     assert hits >= 0.9 * total
 
 
+def test_forest_ranges_are_bounded(monkeypatch):
+    monkeypatch.setattr(neighbours, "RANGE", 100)
+    rng = np.random.default_rng(11)
+    hashes = rng.integers(0, 2**64, (4000, 2), np.uint64)
+    hashes[:2500, 0] = 2**64 - 5
+    forest = neighbours.Forest(4, 2, 1.0)
+    assert forest.cut(hashes, 4000) == 40
+    salts = neighbours.mix64(np.arange(4000, dtype=np.uint64))
+    for tree in range(2):
+        own = forest.range_of(tree, hashes[:, tree], salts)
+        assert np.bincount(own, minlength=40).max() <= 200
+        order = np.sort(hashes[:, tree])
+        query, visited = forest.visited(tree, hashes[:50, tree], 350)
+        # The ranges visited hold the 350 rows on either side; of the equal hashes of the first tree any will do.
+        for q in range(50 * tree):
+            at = np.searchsorted(order, hashes[q, tree])
+            near = np.isin(hashes[:, tree], order[max(0, at - 350) : at + 350])
+            assert set(own[near]) <= set(visited[query == q])
+
+
+@pytest.mark.parametrize("blocks", [False, True])
+def test_neighbours_over_many_ranges(spark, monkeypatch, blocks):
+    monkeypatch.setattr(neighbours, "RANGE", 100)
+    monkeypatch.setattr(neighbours, "QUERIES", 30)
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((1200, 8)).astype(np.float32)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<float>")
+    got = neighbours.neighbours(rows, trees=8, blocks=blocks).collect()
+    found = collections.defaultdict(dict)
+    for r in got:
+        found[r.query_id][r.rank] = r.vec_id
+    hits = 0
+    for q in range(0, 1200, 20):
+        score = x.astype(float) @ x[q].astype(float)
+        score[q] = -np.inf
+        assert sorted(found[q]) == list(range(1, 21))
+        hits += len(set(np.argsort(-score)[:20].tolist()) & set(found[q].values()))
+    assert hits == 60 * 20 if blocks else hits >= 0.9 * 60 * 20
+
+
 def test_licenses(spark):
     pairs = [
         (1, "x\nReleased under the MIT License.\ny"), (2, "This work is licensed under the GNU General Public License version 3"),
