@@ -6,15 +6,20 @@ is divided by what the weights of two words of these lengths give without gaps i
 word with letters put in between still resembles the word without them. Words are read without
 the signs inside them, and runs of single letters are read as one word.
 
-Labels belong to documents. Sentences of clean documents are clean; in toxic documents those
-sentences are taken as toxic that hold a witness: a word much likelier in toxic than in clean
-documents. The machine learns words of these sentences, mapped by the Nyström method: kernel
+Labels belong to documents, so what is toxic in a document has to be found first. Sentences are read as windows of one to
+``WORDS`` words. A witness is a window in more toxic documents than chance explains, given how many windows of its size
+are tried, and without a shorter witness in it; so an insult may be made of harmless words. Of
+copies (documents of a class that share ``COPY`` of their words) one document counts. The machine learns
+witnesses against windows of clean documents, mapped by the Nyström method: kernel
 values against the landmarks, times the inverse root of the landmarks' kernel matrix. With
 fixed landmarks the decision is one weighted sum over letter triples, and it is applied so.
+Windows of clean documents that come out too high are learned in further rounds.
 
-A witness is in more toxic documents than chance explains, given how many words there are; of
-copies (documents of a class that share ``COPY`` of their words) one document counts. A document scores by the highest margin of its
-words, turned into a probability on the labelled sample. Empty and NULL texts have no word and
+Letters of scripts without blanks are words of their own. Other words over ``WINDOW`` letters are learned and scored in
+overlapping pieces and are in no longer window. Insults whose words are further apart than a window are not learned.
+
+A document scores by the highest margin of its
+windows, turned into a probability on the labelled sample. Empty and NULL texts have no word and
 get the lowest score.
 """
 
@@ -24,7 +29,7 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -44,7 +49,11 @@ THRESHOLD = 0.3
 #: Distances of the second and third letter from the first.
 STEPS = [(i, j) for i in range(1, SPAN - 1) for j in range(i + 1, SPAN)]
 _signs = re.compile(r"[\W\d_]+")
-_sentence = re.compile(r"[.!?\n]+")
+#: Most words of a window.
+WORDS = 3
+#: Scripts without blanks: Thai to Lao, Myanmar, Khmer, kana, Han.
+_ALONE = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_alone = re.compile(f"([{_ALONE}])")
 LOWEST = -4.0
 #: Share of their common words from which two documents are copies, and least hashes in a band.
 COPY = 0.8
@@ -52,16 +61,55 @@ BAND = 4
 _salts = mix64(np.arange(1, 65, dtype=np.uint64))
 
 
-def tokens(text: str | None) -> list[str]:
-    """Words of a text: lower case, letters only, single letters in a row joined."""
+def read(text: str | None) -> tuple[list[str], list[int]]:
+    """Words of a text, and the number of its sentence for each: lower case, letters only, single letters in a row joined.
+
+    A sentence ends with a sign before a blank, or with the line.
+    """
     found: list[str] = []
-    joined = False
-    for t in (_signs.sub("", x) for x in (text or "").lower().split()):
-        if len(t) == 1 and joined:
-            found[-1] += t
-        elif t:
-            found.append(t)
-        joined = len(t) == 1 or joined and not t
+    sentences: list[int] = []
+    joined, sentence = False, 0
+    for line in (text or "").lower().split("\n"):
+        for raw in line.split():
+            for t in _alone.split(_signs.sub("", raw)):
+                alone = bool(_alone.match(t))
+                if len(t) == 1 and joined and not alone:
+                    found[-1] += t
+                elif t:
+                    found.append(t)
+                    sentences.append(sentence)
+                joined = len(t) == 1 and not alone or joined and not t
+            sentence += raw[-1] in ".!?"
+        sentence += 1
+    return found, sentences
+
+
+def tokens(text: str | None) -> list[str]:
+    return read(text)[0]
+
+
+def learnable(words: list[str]) -> set[str]:
+    """The words, those over ``WINDOW`` letters in the pieces that they are scored by."""
+    out: set[str] = set()
+    for w in words:
+        out.update([w] if len(w) <= WINDOW else (w[a : a + WINDOW] for a in range(0, len(w) - WINDOW // 2, WINDOW // 2)))
+    return out
+
+
+def windows(words: list[str], sentences: list[int], out: set[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per size from two words up: hash and first word of the windows without a word of ``out``."""
+    code = np.array([zlib.crc32(w.encode()) for w in words], np.uint64)
+    usable = np.array([len(w) <= WINDOW and w not in out for w in words], bool)
+    place = np.array(sentences, np.int64)
+    found, code_of = [], code
+    for size in range(2, WORDS + 1):
+        n = max(len(words) - size + 1, 0)
+        code_of = mix64(code_of[:n] * np.uint64(0x9E3779B97F4A7C15) + code[size - 1 :][:n])
+        fits = place[:n] == place[size - 1 :][:n]
+        for k in range(size):
+            fits = fits & usable[k : k + n]
+        spot = np.flatnonzero(fits)
+        found.append((code_of[spot], spot))
     return found
 
 
@@ -122,73 +170,109 @@ class Scorer:
                 self.codes[cp] = 0
             elif c.isalpha():
                 self.codes[cp] = codes.get(c.lower()[0], 1)
+        self.alone = np.zeros(0x110000, bool)
+        for first, last in re.findall("(.)-(.)", _ALONE):
+            self.alone[ord(first) : ord(last) + 1] = True
 
     def words(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """Per range of rows: the first row, the row of each word, the margin of each word."""
+        """Per range of rows: the first row, the row of each word, and the margins of the windows that begin with it, by size."""
         data, bounds = utf8(column)
         for first, last in chunks(bounds):
             own = bounds[first : last + 1] - bounds[first]
             points, ends = code_points(data[bounds[first] : bounds[last]], own)
             codes = self.codes[points]
             row = np.repeat(np.arange(last - first), np.diff(ends))
+            sign = (points == 46) | (points == 33) | (points == 63)
+            ending = points == 10
+            ending[:-1] |= sign[:-1] & (codes[1:] == 0)
             keep = codes >= 0
-            codes, row = codes[keep], row[keep]
-            yield first, *self._margins(codes, row)
+            yield first, *self._margins(codes[keep], row[keep], np.cumsum(ending)[keep], self.alone[points[keep]])
 
-    def _margins(self, codes: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _margins(self, codes: np.ndarray, row: np.ndarray, sentence: np.ndarray, alone: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         letter = codes > 0
+        edge = ~letter[:-1] | (row[1:] != row[:-1]) | alone[1:] | alone[:-1]
         fresh = np.ones(len(codes), bool)
-        fresh[1:] = ~letter[:-1] | (row[1:] != row[:-1])
+        fresh[1:] = edge
         start = np.flatnonzero(letter & fresh)
         if not len(start):
-            return np.empty(0, np.int64), np.empty(0)
+            return np.empty(0, np.int64), np.empty((0, WORDS))
         last = np.ones(len(codes), bool)
-        last[:-1] = ~letter[1:] | (row[1:] != row[:-1])
+        last[:-1] = ~letter[1:] | edge
         length = np.flatnonzero(letter & last) + 1 - start
         owner = row[start]
         # Single letters in a row belong to one word.
-        single = length == 1
+        single = (length == 1) & ~alone[start]
         new = np.ones(len(start), bool)
         new[1:] = ~(single[1:] & single[:-1] & (owner[1:] == owner[:-1]))
         length = np.add.reduceat(length, np.flatnonzero(new))
-        owner = owner[new]
+        owner, sentence = owner[new], sentence[start][new]
         # All letters again, one blank after each word and one before the first.
-        word = np.repeat(np.arange(len(length)), length)
-        line = np.zeros(1 + len(word) + len(length) + SPAN, np.int32)
+        words = len(length)
+        word = np.repeat(np.arange(words), length)
+        line = np.zeros(1 + len(word) + words + SPAN, np.int32)
         begin = 1 + np.concatenate(([0], np.cumsum(length + 1)[:-1]))
         place = np.arange(len(word)) + word + 1
         line[place] = codes[letter]
         stop = begin + length
         n = int(stop[-1]) + 1
-        # The triple that begins at a blank belongs to the word behind it.
-        ahead = np.repeat(stop, length + 1) - np.arange(n - 1)
-        value = np.zeros(n - 1, np.float32)
+        # The triple that begins at a blank belongs to the word behind it; it may end in one of the words behind that.
+        ahead = [np.repeat(stop[np.minimum(np.arange(words) + k, words - 1)], length + 1) - np.arange(n - 1) for k in range(WORDS)]
+        value = [np.zeros(n - 1, np.float32) for _ in range(WORDS)]
         bits = self.bits
         head = line[: n - 1] << 2 * bits
         for a, b in STEPS:
             key = head | line[a : n - 1 + a] << bits | line[b : n - 1 + b]
-            value += np.where(ahead >= b, self.table[key], 0) * np.float32(DECAY ** (b + 1))
-        total = np.concatenate(([0.0], np.cumsum(value, dtype=np.float64)))
-        norms = np.array([norm(k) or 1.0 for k in range(WINDOW + 1)])
+            weight = self.table[key] * np.float32(DECAY ** (b + 1))
+            for k in range(WORDS):
+                value[k] += np.where(ahead[k] >= b, weight, 0)
+        total = [np.concatenate(([0.0], np.cumsum(v, dtype=np.float64))) for v in value]
+        sums = [t[stop] - t[begin - 1] for t in total]
+        norms = np.array([norm(k) or 1.0 for k in range(WORDS * (WINDOW + 1))])
         short = length <= WINDOW
-        margin = (total[stop] - total[begin - 1]) / norms[np.minimum(length, WINDOW)]
+        margin = np.full((words, WORDS), -np.inf)
+        margin[:, 0] = sums[0] / norms[np.minimum(length, WINDOW)]
         for i in np.flatnonzero(~short):
             a = np.arange(begin[i] - 1, stop[i] - WINDOW // 2, WINDOW // 2)
-            margin[i] = ((total[np.minimum(a + WINDOW, stop[i])] - total[a]) / norms[WINDOW]).max()
+            margin[i, 0] = ((total[0][np.minimum(a + WINDOW, stop[i])] - total[0][a]) / norms[WINDOW]).max()
+        for size in range(2, min(WORDS, words) + 1):
+            m = words - size + 1
+            fits = (owner[:m] == owner[size - 1 :]) & (sentence[:m] == sentence[size - 1 :])
+            inside = np.zeros(m)
+            for k in range(size):
+                fits &= short[k : k + m]
+                inside += sums[size - 1 - k][k : k + m]
+            spot = np.flatnonzero(fits)
+            margin[spot, size - 1] = inside[spot] / norms[stop[spot + size - 1] - begin[spot]]
         return owner, margin + self.bias
 
     def margins(self, column: pa.Array) -> np.ndarray:
-        """The highest margin of the words of each text."""
+        """The highest margin of the windows of each text."""
         out = np.full(len(column), LOWEST)
         for first, owner, margin in self.words(column):
             if len(owner):
                 starts = np.flatnonzero(np.diff(owner, prepend=-1))
-                out[first + owner[starts]] = np.maximum(np.maximum.reduceat(margin, starts), LOWEST)
+                out[first + owner[starts]] = np.maximum(np.maximum.reduceat(margin.max(axis=1), starts), LOWEST)
         return out
 
     def of_words(self, words: list[str]) -> np.ndarray:
         return self.margins(pa.array(words, pa.string()))
 
+    def above(self, texts: list[str], least: float) -> dict[str, float]:
+        """The windows of some texts with margins over ``least``; pieces stand for long words."""
+        found: dict[str, float] = {}
+        for first, owner, margin in self.words(pa.array(texts, pa.string())):
+            spot, size = np.nonzero(margin > least)
+            begin = np.searchsorted(owner, owner[spot])
+            known, words = -1, []
+            for i, k, a in zip(spot.tolist(), size.tolist(), begin.tolist()):
+                if owner[i] != known:
+                    known, words = owner[i], tokens(texts[first + owner[i]])
+                if len(words[i - a]) <= WINDOW:
+                    found[" ".join(words[i - a : i - a + k + 1])] = float(margin[i, k])
+                else:
+                    found.update(dict.fromkeys(learnable([words[i - a]]), float(margin[i, k])))
+        return found
+
 
 def _support_vector(x: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float) -> np.ndarray:
     """Linear machine with squared hinge loss, by Newton steps on the rows inside the margin."""
@@ -272,41 +356,100 @@ class Copies:
         return True
 
 
+def _parts(window: str) -> set[str]:
+    """A window and the shorter ones in it."""
+    words = window.split(" ")
+    return {" ".join(words[a:b]) for a in range(len(words)) for b in range(a + 1, len(words) + 1)}
+
+
+def _longer_windows(counted: dict[int, list[str]], witnesses: set[str], telling: Callable[[int, int, int], bool]) -> tuple[dict[str, int], set[str]]:
+    """Witnesses of two words and more with the number of their toxic documents, and some windows of clean documents.
+
+    Windows are counted by hash, once a document.
+    """
+    def read_in(texts: list[str]) -> Iterator[tuple[list[str], list[tuple[np.ndarray, np.ndarray]]]]:
+        for text in texts:
+            words, sentences = read(text)
+            yield words, windows(words, sentences, witnesses)
+
+    sizes = range(WORDS - 1)
+    hashes: list[list[np.ndarray]] = [[] for _ in sizes]
+    for _, found in read_in(counted[1]):
+        for k in sizes:
+            hashes[k].append(np.unique(found[k][0]))
+    keys, counts, tried, others = [], [], [], []
+    for k in sizes:
+        key, n = np.unique(np.concatenate([np.empty(0, np.uint64), *hashes[k]]), return_counts=True)
+        tried.append(int((n > 1).sum()))
+        few = np.array([telling(i, 0, tried[k]) for i in range(int(n.max(initial=0)) + 1)], bool)[n]
+        keys.append(key[few])
+        counts.append(n[few])
+        others.append(np.zeros(few.sum(), np.int64))
+    sample: set[str] = set()
+    for words, found in read_in(counted[0]):
+        for k in sizes:
+            hashed, spot = found[k]
+            others[k] += np.isin(keys[k], hashed)
+            sample.update(" ".join(words[i : i + k + 2]) for i in spot[hashed % np.uint64(64) == 0].tolist())
+    numbers = [
+        {int(h): int(n) for h, n, other in zip(keys[k], counts[k], others[k]) if telling(int(n), int(other), tried[k])} for k in sizes
+    ]
+    longer: dict[str, int] = {}
+    if any(numbers):
+        wanted = [np.array(sorted(found), np.uint64) for found in numbers]
+        for words, found in read_in(counted[1]):
+            for k in sizes:
+                hashed, spot = found[k]
+                for i in np.flatnonzero(np.isin(hashed, wanted[k])).tolist():
+                    longer[" ".join(words[spot[i] : spot[i] + k + 2])] = numbers[k][int(hashed[i])]
+    return {w: n for w, n in longer.items() if len(_parts(w) & longer.keys()) == 1}, sample - longer.keys()
+
+
 def fit(rows: pd.DataFrame, landmarks: int = 240, words: int = 6_000, cost: float = 1.0) -> Machine:
     """From labelled rows (text, toxic). One class alone gives a constant score."""
     y = rows["toxic"].to_numpy(float)
     if not len(y) or y.min() == y.max():
         return Machine(slope=1e-3, shift=0.0 if not len(y) else (6.0 if y[0] else -6.0))
     inside, outside, seen = Counter(), Counter(), {0: Copies(), 1: Copies()}
+    counted: dict[int, list[str]] = {0: [], 1: []}
     n1 = n0 = 0
     for text, label in zip(rows["text"], y):
         own = set(tokens(text))
         if seen[int(label > 0)].new(own):
-            (inside if label else outside).update(w for w in own if len(w) <= 2 * WINDOW)
+            (inside if label else outside).update(learnable(own))
+            counted[int(label > 0)].append(text)
             n1, n0 = n1 + bool(label), n0 + (not label)
-    # How unlikely is it that a word as frequent falls so much on the toxic side by chance? The
-    # number of words that are tried is allowed for.
+    # How unlikely is it that a window as frequent falls so much on the toxic side by chance? The
+    # number of windows of its size that are tried is allowed for.
     base = -math.log(n1 / (n1 + n0))
-    tried = math.log(2 * max(1, sum(n > 1 for n in inside.values())))
 
-    def telling(n: int, other: int) -> bool:
+    def telling(n: int, other: int, tried: int) -> bool:
         ways = math.lgamma(n + other + 1) - math.lgamma(n + 1) - math.lgamma(other + 1)
-        return n * base - ways > tried and n / n1 > 10 * (other + 0.5) / n0
+        return n * base - ways > math.log(2 * max(1, tried)) and n / n1 > 10 * (other + 0.5) / n0
 
-    witnesses = {w for w, n in inside.items() if len(w) > 2 and telling(n, outside.get(w, 0))}
+    tried = sum(n > 1 for n in inside.values())
+    witnesses = {w for w, n in inside.items() if telling(n, outside.get(w, 0), tried)}
+    longer, negatives = _longer_windows(counted, witnesses, telling)
     clean = sorted(outside.keys() - witnesses, key=lambda w: (zlib.crc32(w.encode()), w))
+    negatives = sorted(negatives, key=lambda w: (zlib.crc32(w.encode()), w))[:words]
+    inside.update(longer)
+    witnesses |= longer.keys()
     if not witnesses or not clean:
         return Machine(slope=1e-3, shift=float(np.log(n1 / n0)))
     learned: set[str] = set()
+    first = clean[:words] + negatives
     for _ in range(4):
         sure = sorted(witnesses, key=lambda w: (-inside[w], w))[:words]
-        known = clean[:words] + sorted(learned)
+        known = first + sorted(learned)
         marks = sure[: landmarks // 2]
         machine = _learn(sure, known, marks + known[: landmarks - len(marks)], cost)
         scorer = machine.compiled()
-        # Clean words that come out too high are learned next.
-        margin = scorer.of_words(clean)
-        wrong = {clean[i] for i in np.argsort(-margin)[:words] if margin[i] > -0.7} - learned - set(clean[:words])
+        # Clean windows that come out too high are learned next.
+        high: dict[str, float] = {}
+        for i in range(0, len(counted[0]), 200):
+            high |= scorer.above(counted[0][i : i + 200], -0.7)
+        high = {w: m for w, m in high.items() if witnesses.isdisjoint(_parts(w))}
+        wrong = set(sorted(high, key=lambda w: (-high[w], w))[:words]) - learned - set(first)
         if not wrong:
             break
         learned |= wrong

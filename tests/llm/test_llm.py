@@ -385,6 +385,36 @@ def test_unlike_documents_all_count():
     assert p[0] < toxicity.THRESHOLD <= p[1]
 
 
+def test_windows_of_words_are_learned():
+    rng = np.random.default_rng(6)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnop"), 7))
+    common = ["empty", "bucket", "head", "house", "river", "stone", "笨", "蛋", "好", "人", "zq"]
+    def made(insult):
+        words = [word() for _ in range(20)] + [w for w in common if w not in insult.split()]
+        rng.shuffle(words)
+        return " x. ".join(words) + ". " + insult + "."
+    for insult, harmless in (("empty bucket", "bucket. Empty"), ("笨蛋", "蛋 x 笨"), ("zq", "house"), ("y" * 10 + "kw" * 20, "house")):
+        texts = [made(insult if i < 50 else harmless) for i in range(150)]
+        machine = toxicity.fit(pd.DataFrame({"text": texts, "toxic": [int(i < 50) for i in range(150)]}))
+        p = machine.probability(machine.compiled().of_words([made(harmless) for _ in range(20)] + [made(insult) for _ in range(20)]))
+        assert p[:20].max() < toxicity.THRESHOLD <= p[20:].min(), insult
+
+
+def test_margins_of_windows():
+    machine = toxicity.Machine(toxicity.triples("you bad cat"), 0.0)
+    scorer = machine.compiled()
+    text = "Oh, you b.a.d cat! Is it 笨蛋 a i o\nyou bad"
+    words, sentences = toxicity.read(text)
+    assert words == ["oh", "you", "bad", "cat", "is", "it", "笨", "蛋", "aio", "you", "bad"]
+    (_, owner, margin), = scorer.words(toxicity.pa.array([text]))
+    assert len(owner) == len(words)
+    for i in range(len(words)):
+        for size in range(1, 4):
+            whole = i + size <= len(words) and sentences[i] == sentences[i + size - 1]
+            want = toxicity.kernel("you bad cat", " ".join(words[i : i + size])) if whole else -np.inf
+            assert np.isclose(margin[i, size - 1], want, atol=1e-5)
+
+
 @needs_tables
 def test_held_out_toxic_class(spark):
     folder = TABLES.replace("0.001", "0.1")
