@@ -5,8 +5,8 @@ labelled rows, whole texts: ``sample`` rows per language, drawn by a hash of the
 highest order uses counts, the lower orders the number of distinct left neighbours
 (Kneser-Ney), all interpolated with absolute discounting. A model is kept as sorted arrays of
 64-bit n-gram codes and their costs. A text gets the language with the lowest cost per
-character; it is rejected where even that cost lies beyond a bound calibrated on
-labelled rows that the models didn't see.
+character; it is rejected where even that cost lies beyond the bound of that language: a high quantile of the
+costs of its labelled rows that the models didn't see and that came out as it, and a margin.
 
 Letters are lower-cased, every other run of characters is one space. NULL or letterless
 texts are ``und`` with score 0 and are rejected.
@@ -33,6 +33,8 @@ DISCOUNT = 0.75
 SURE = 40
 #: Bits that a text may cost above the bound in all, which matters for a few words only.
 SHORT = 24.0
+#: Rows of a language that calibrate its own bound at least; with fewer the rows of all languages do.
+FEW = 50
 #: Odd, so that the product with it is another number for each 64-bit number.
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 _letters: np.ndarray | None = None
@@ -93,8 +95,8 @@ class Models:
     """Costs (negative log2) of n-grams for all languages, found by binary search.
 
     ``grams[k]`` and ``costs[k]`` belong to contexts of k characters, ``backoff[k]`` holds what
-    a context of k characters adds when the n-gram is new. ``bound`` is the highest accepted
-    cost per character of a long text.
+    a context of k characters adds when the n-gram is new. ``bounds`` holds the highest accepted
+    cost per character of a long text for each language; None accepts all.
     """
 
     langs: list[str]
@@ -102,11 +104,11 @@ class Models:
     costs: list[np.ndarray]
     contexts: list[np.ndarray]
     backoff: list[np.ndarray]
-    bound: float = float("inf")
+    bounds: np.ndarray | None = None
 
     def compiled(self) -> Models:
         """The same with every array sorted by hash, for lookups of many n-grams."""
-        hashed = Models(self.langs, [], [], [], [], self.bound)
+        hashed = Models(self.langs, [], [], [], [], self.bounds)
         for keys, values, to_keys, to_values in (
             (self.grams, self.costs, hashed.grams, hashed.costs),
             (self.contexts, self.backoff, hashed.contexts, hashed.backoff),
@@ -118,8 +120,10 @@ class Models:
         return hashed
 
     def accepts(self, cost: np.ndarray, length: np.ndarray) -> np.ndarray:
-        """A short text may cost more for each character."""
-        return (length > 0) & (cost <= self.bound + SHORT / np.maximum(length, 1))
+        """From the costs of all languages. A short text may cost more for each character."""
+        if not self.langs or self.bounds is None:
+            return (length > 0) & bool(self.langs)
+        return (length > 0) & (cost.min(axis=1) <= self.bounds[cost.argmin(axis=1)] + SHORT / np.maximum(length, 1))
 
     def of(self, gram: np.ndarray) -> np.ndarray:
         """A row of costs, one per language, for each n-gram."""
@@ -268,11 +272,11 @@ def scores(models: Models, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return total / np.maximum(length, 1)[:, None], length
 
 
-def fit(labelled: DataFrame, sample: int = 2000, sure: float = 20.0) -> Models:
+def fit(labelled: DataFrame, sample: int = 2000, quantile: float = 0.99, margin: float = 0.45) -> Models:
     """Models of the languages in ``labelled`` (doc_id, text, lang; NULL labels are left out).
 
     About ``sample`` rows of each language are read for counts, and half as many others
-    calibrate the rejection: its bound lies ``sure`` standard deviations above their mean cost.
+    calibrate the rejection: the bound of a language lies ``margin`` above the ``quantile`` of the costs of its rows that come out as it.
     """
     rows = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.col("lang") != UNKNOWN))
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
@@ -291,16 +295,25 @@ def fit(labelled: DataFrame, sample: int = 2000, sure: float = 20.0) -> Models:
         return models
 
     def costs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("cost", pa.float64())])
+        schema = pa.schema([("best", pa.int32()), ("cost", pa.float64())])
         hashed = models.compiled()
         for batch in batches:
             cost, length = scores(hashed, batch.column("text"))
-            yield batch_of({"cost": cost.min(axis=1)[length >= 20]}, schema)
-
-    seen = picked.where(~F.col("learn")).select("text").mapInArrow(costs, "cost double")
-    mean, spread = seen.agg(F.avg("cost"), F.stddev_pop("cost")).first()
-    if mean is not None:
-        models.bound = mean + sure * max(spread, 0.05 * mean)
+            best = cost.argmin(axis=1)
+            long = (length >= 20) & (np.array(models.langs, object)[best] == np.array(batch.column("lang").to_pylist(), object))
+            # What short texts are granted is left out.
+            yield batch_of({"best": best[long], "cost": (cost.min(axis=1) - SHORT / np.maximum(length, 1))[long]}, schema)
+
+    seen = picked.where(~F.col("learn")).select("text", "lang").mapInArrow(costs, "best int, cost double")
+    high = F.percentile("cost", quantile).alias("high")
+    # A row for each language, and one for all.
+    found = seen.rollup("best").agg(high, F.count("*").alias("n")).collect()
+    overall = next((r["high"] for r in found if r["best"] is None and r["n"]), None)
+    if overall is not None:
+        models.bounds = np.full(len(models.langs), overall * (1 + margin))
+        for r in found:
+            if r["best"] is not None and r["n"] >= FEW:
+                models.bounds[r["best"]] = r["high"] * (1 + margin)
     return models
 
 
@@ -327,7 +340,7 @@ def identify(docs: DataFrame, models: Models) -> DataFrame:
                 "lang_pred": langs[np.where(letters, best, -1)],
                 "score": np.where(letters, 1 / np.maximum(odds, 1), 0.0),
                 "cost": low,
-                "rejected": ~(letters & models.accepts(low, length)),
+                "rejected": ~(letters & models.accepts(cost, length)),
             }, schema)
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
@@ -355,6 +368,6 @@ def accepted(docs: DataFrame) -> DataFrame:
         models = shared.value.compiled()
         for batch in batches:
             cost, length = scores(models, batch.column("text"))
-            yield batch.filter(pa.array(models.accepts(cost.min(axis=1, initial=np.inf), length)))
+            yield batch.filter(pa.array(models.accepts(cost, length)))
 
     return docs.mapInArrow(kept, docs.schema)

@@ -349,6 +349,17 @@ def test_awkward_rows_for_trained_operators(spark):
     assert len(scored) == len(AWKWARD) and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in scored)
 
 
+@needs_tables
+def test_unlearned_languages_are_rejected(spark):
+    table = spark.read.parquet(TABLES.replace("0.001", "0.1") + "/documents.parquet").where("lang IS NOT NULL AND length(text) > 200")
+    unseen = language.held_out(F.col("doc_id"))
+    for left in ("en", "de"):
+        models = language.fit(table.where(~unseen & (F.col("lang") != left)).select("doc_id", "text", "lang"))
+        found = language.identify(table.where(unseen), models).join(table.select("doc_id", "lang"), "doc_id")
+        share = {r[0]: r[1] for r in found.groupBy(F.col("lang") == left).agg(F.avg(F.col("rejected").cast("int"))).collect()}
+        assert share[True] > 0.95 and share[False] < 0.01, (left, share)
+
+
 def test_kernel_tolerates_gaps():
     assert toxicity.kernel("idiot", "idiot") > 0.9 > toxicity.kernel("idiot", "idixot") > toxicity.kernel("idiot", "house")
     assert toxicity.tokens("an i.d i o t here") == ["an", "id", "iot", "here"] and toxicity.tokens("m-o r,on") == ["mo", "ron"]
