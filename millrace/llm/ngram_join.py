@@ -427,7 +427,10 @@ def similar_documents(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component, with its columns."""
+    """The rows of ``docs`` whose id is the smallest of its component, with its columns.
+
+    Rows without an id are groups of their own: all are kept.
+    """
     found = similar_documents(docs, words)
     kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(kept, docs["doc_id"] == F.col("__id"), "left_semi")
+    return docs.join(kept, docs["doc_id"] == F.col("__id"), "left_semi").unionByName(docs.where("doc_id IS NULL"))

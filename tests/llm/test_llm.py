@@ -93,6 +93,12 @@ def test_components(spark):
     assert all(reached[i] == 0 for i in range(31)) and reached[60] == reached[50] == 40
 
 
+def test_one_of_each_keeps_rows_without_id(spark):
+    pairs = [(1, "a b c d e f"), (2, "a b c d e f"), (None, "a b c d e f"), (None, "u v w x y z"), (None, None)]
+    kept = ngram_join.one_of_each(docs(spark, pairs)).collect()
+    assert sorted((str(r.doc_id), str(r.text)) for r in kept) == sorted((str(i), str(t)) for i, t in pairs if i != 2)
+
+
 def tiktoken_ids(name):
     import public_tokenizers
     import tiktoken
