@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, fingerprint, language, licenses, neighbours, ngram_join, packing, toxicity, urls, warc
+from millrace.llm import (
+    bpe, divergence, fingerprint, html_text, language, licenses, neighbours, ngram_join, packing, phrases, toxicity, urls, warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,12 +57,28 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
 
 
+def op11_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    return html_text.extracted(_table(spark, sf, "pages"))
+
+
+def op12_phrase_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf, "documents"))
+
+
+def op13_source_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    return divergence.source_divergence(_table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_url_filters, op2_ngram_jaccard_join, op3_byte_bpe, op4_warc, op5_nearest_neighbours, op6_language_id,
-        op7_best_fit_packing, op8_license_scans, op9_fingerprints, op10_toxicity,
+        op7_best_fit_packing, op8_license_scans, op9_fingerprints, op10_toxicity, op11_html_extraction, op12_phrase_collocations,
+        op13_source_divergence,
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op12_phrase_collocations": phrases.SQL,
+    "op13_source_divergence": divergence.SQL,
+}
