@@ -11,7 +11,8 @@ A-Z are lower-cased. A phrase is a run of words of one piece.
   of ranges grows with the text, so that what one merge holds is bounded.
 * What survives is told to the next length as a bit map of fixed size (``BITS``), put together from one slice
   per range. Where the map fills up or hashes meet, more phrases are looked at; none is lost.
-* A second pass counts the survivors of all lengths exactly, as text, summed in tasks before the shuffle.
+* A second pass counts the survivors exactly, as text, summed in tasks before the shuffle; words are
+  counted as far as they are part of a frequent phrase.
 
 A NULL text is empty, a NULL language is ``und``; ids are not looked at, repeated rows count each.
 An empty table gives no rows. Other columns are ignored.
@@ -19,8 +20,10 @@ An empty table gives no rows. Other columns are ignored.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from hashlib import blake2b
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +39,10 @@ BEST = 2000
 #: Bits of the map of survivors, as a power of two: 8 MB for each length, whatever the corpus.
 BITS = 26
 #: Bytes of text that are cut into words at once inside a task.
-PORTION = 4_000_000
+PORTION = 1_500_000
+#: Counts that a task holds before it sends them.
+HELD = 1_500_000
+HELD_TEXTS = 300_000
 #: Most bytes of packed counts that one range has to merge, if every word had a single letter.
 RANGE_BYTES = 1 << 27
 
@@ -163,6 +169,7 @@ def _survivors(docs: DataFrame, n: int, least: int, ranges: int, before: np.ndar
     shift = np.uint64(64 - (ranges.bit_length() - 1))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         for words, _ in _portions(batches):
             with np.errstate(over="ignore"):
                 shorter = None
@@ -172,17 +179,22 @@ def _survivors(docs: DataFrame, n: int, least: int, ranges: int, before: np.ndar
             if known is not None and len(kept):
                 frequent = _marked(known.value, last)
                 kept &= frequent[: len(kept)] & frequent[1 : len(kept) + 1]
-            found, times = np.unique(gram[kept], return_counts=True)
-            if not len(found):
-                continue
-            packed = np.empty(len(found), _ENTRY)
-            packed["gram"], packed["n"] = found, times
-            place = (found >> shift).astype(np.int64) if ranges > 1 else np.zeros(len(found), np.int64)
-            cuts = np.searchsorted(place, np.arange(ranges + 1))
-            used = np.flatnonzero(np.diff(cuts))
-            yield batch_of(
-                {"range": used, "packed": [packed[cuts[i] : cuts[i + 1]].tobytes() for i in used]}, schema
-            )
+            held.append(np.unique(gram[kept], return_counts=True))
+            if sum(len(g) for g, _ in held) >= HELD:
+                yield from send(held)
+                held = []
+        yield from send(held)
+
+    def send(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        if not any(len(g) for g, _ in held):
+            return
+        found, times = _summed(*(np.concatenate(part) for part in zip(*held)))
+        packed = np.empty(len(found), _ENTRY)
+        packed["gram"], packed["n"] = found, times
+        place = (found >> shift).astype(np.int64) if ranges > 1 else np.zeros(len(found), np.int64)
+        cuts = np.searchsorted(place, np.arange(ranges + 1))
+        used = np.flatnonzero(np.diff(cuts))
+        yield batch_of({"range": used, "packed": [packed[cuts[i] : cuts[i + 1]].tobytes() for i in used]}, schema)
 
     slice_bits = (1 << BITS) // ranges
 
@@ -215,56 +227,90 @@ def _survivors(docs: DataFrame, n: int, least: int, ranges: int, before: np.ndar
     return bits
 
 
-def _counted(docs: DataFrame, maps: list[np.ndarray]) -> DataFrame:
-    """Rows (lang, phrase, words, n): exact counts of what the maps hold, and of all words (words = 0)."""
+def _counted(docs: DataFrame, maps: dict[int, np.ndarray], ranges: int) -> DataFrame:
+    """Rows (lang, phrase, words, n): exact counts of what the maps of each length hold.
+
+    With a map for single words, rows of no words hold the number of words of each language. As in the first pass, a
+    task sends packed counts, here with the texts, and each range of phrases is merged on its own.
+    """
     known = docs.sparkSession.sparkContext.broadcast(maps)
-    schema = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int32()), ("n", pa.int64())])
+    schema = pa.schema([("range", pa.int32()), ("packed", pa.binary())])
+    texts = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int32()), ("n", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: Counter[tuple[str, str, int]] = Counter()
         for words, langs in _portions(batches):
-            rows, each = np.unique(words.row, return_counts=True)
-            yield batch_of({
-                "lang": [langs[i] for i in rows], "phrase": [""] * len(rows), "words": [0] * len(rows), "n": each
-            }, schema)
+            if 1 in known.value:
+                for row, n in zip(*np.unique(words.row, return_counts=True)):
+                    held[langs[row], "", 0] += int(n)
+            longest = max(known.value)
             with np.errstate(over="ignore"):
-                for n, (one, other) in enumerate(zip(words.grams(LONGEST), words.grams(LONGEST, 1)), start=1):
-                    if n > len(known.value):
-                        break
-                    at = np.flatnonzero(words.whole(n) & _marked(known.value[n - 1], one))
+                for n, (one, other) in enumerate(zip(words.grams(longest), words.grams(longest, 1)), start=1):
+                    if n not in known.value:
+                        continue
+                    at = np.flatnonzero(words.whole(n) & _marked(known.value[n], one))
                     _, first, kind, times = np.unique(
                         one[at], return_index=True, return_inverse=True, return_counts=True
                     )
                     if (other[at] != other[at[first]][kind]).any():
                         both = np.stack((one[at], other[at]), axis=1)
                         _, first, times = np.unique(both, axis=0, return_index=True, return_counts=True)
-                    at = at[first]
-                    yield batch_of({
-                        "lang": [langs[i] for i in words.row[at]], "phrase": [words.text(i, n) for i in at],
-                        "words": np.full(len(at), n, np.int32), "n": times,
-                    }, schema)
-
-    found = docs.mapInArrow(count, "lang string, phrase string, words int, n bigint")
-    return found.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n"))
+                    for i, time in zip(at[first].tolist(), times.tolist()):
+                        held[langs[words.row[i]], words.text(i, n), n] += time
+            if len(held) >= HELD_TEXTS:
+                yield from sent(held)
+                held.clear()
+        yield from sent(held)
+
+    def sent(held: Counter) -> Iterator[pa.RecordBatch]:
+        if not held:
+            return
+        lang, phrase, words = zip(*held)
+        table = pa.table([lang, phrase, words, list(held.values())], schema=texts)
+        place = np.array([crc32(p.encode()) % ranges for p in phrase])
+        order = np.argsort(place, kind="stable")
+        table, cuts = table.take(pa.array(order)), np.searchsorted(place[order], np.arange(ranges + 1))
+        used = np.flatnonzero(np.diff(cuts))
+        packed = []
+        for i in used:
+            out = pa.BufferOutputStream()
+            with pa.ipc.new_stream(out, texts) as stream:
+                stream.write_table(table.slice(cuts[i], cuts[i + 1] - cuts[i]))
+            packed.append(out.getvalue().to_pybytes())
+        yield batch_of({"range": used, "packed": packed}, schema)
+
+    def merge(blocks: pa.Table) -> pa.Table:
+        parts = pa.concat_tables(pa.ipc.open_stream(b.as_buffer()).read_all() for b in blocks.column("packed"))
+        summed = parts.group_by(["lang", "phrase", "words"]).aggregate([("n", "sum")])
+        return summed.rename_columns({"n_sum": "n"}).select(texts.names).cast(texts)
+
+    packed = docs.mapInArrow(count, "range int, packed binary")
+    return packed.groupBy("range").applyInArrow(merge, "lang string, phrase string, words int, n bigint")
 
 
 def phrase_counts(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """Rows (lang, phrase, words, n): every phrase of one to five words with n >= ``least``.
+    """Rows (lang, phrase, words, n): every phrase of two to five words with n >= ``least``.
 
-    Rows of no words hold the number of words of each language. Stored in the shared folder.
+    Also the words that these are made of, and the number of all words of each language in rows of no words. Stored in
+    the shared folder.
     """
     docs = docs.select("text", F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # At most one word for two bytes of text.
     wanted = max(partitions(docs), size // 2 * _ENTRY.itemsize // RANGE_BYTES + 1)
     ranges = min(1 << (wanted - 1).bit_length(), 1 << (BITS - 3))
-    maps: list[np.ndarray] = []
+    maps: dict[int, np.ndarray] = {}
     for n in range(1, LONGEST + 1):
-        bits = _survivors(docs, n, least, ranges, maps[-1] if maps else None)
+        bits = _survivors(docs, n, least, ranges, maps.get(n - 1))
         if not bits.any():
             break
-        maps.append(bits)
-    frequent = _counted(docs, maps).where((F.col("n") >= least) | (F.col("words") == 0))
-    return stored(frequent, "phrases")[0]
+        maps[n] = bits
+    maps.pop(1, None)
+    if not maps:
+        return docs.sparkSession.createDataFrame([], "lang string, phrase string, words int, n bigint")
+    found, _ = stored(_counted(docs, maps, ranges).where(F.col("n") >= least), "phrases")
+    used = _survivors(found.select(F.col("phrase").alias("text"), "lang"), 1, 1, ranges, None)
+    return found.unionByName(stored(_counted(docs, {1: used}, ranges), "words")[0])
 
 
 def _joined(words: Column, start: Column, length: Column) -> Column:
