@@ -229,8 +229,11 @@ def _shared_grams(docs: DataFrame, frequent: np.ndarray, ranks: np.ndarray, buck
             gram = np.zeros((len(low), 8), np.uint8)
             gram[:, :6] = low
             gram = gram.view(np.uint64)[:, 0] | np.uint64(bucket << 48)
-            order = np.argsort(gram)
+            order = np.lexsort((ids, gram))
             gram, ids = gram[order], ids[order]
+            # Copies of a document in several tasks send the same n-grams.
+            new = np.concatenate(([True], (gram[1:] != gram[:-1]) | (ids[1:] != ids[:-1])))
+            gram, ids = gram[new], ids[new]
             cuts = np.flatnonzero(np.concatenate(([True], gram[1:] != gram[:-1])))
             df = np.repeat(np.diff(cuts, append=len(gram)), np.diff(cuts, append=len(gram)))
             both = df > 1
@@ -258,6 +261,8 @@ def _shared_grams(docs: DataFrame, frequent: np.ndarray, ranks: np.ndarray, buck
             owner, gram, rank = np.concatenate(owners), np.concatenate(grams), np.concatenate(ranks)
             order = np.lexsort((gram, rank, owner))
             owner, gram = owner[order], gram[order]
+            new = np.concatenate(([True], (gram[1:] != gram[:-1]) | (owner[1:] != owner[:-1])))
+            owner, gram = owner[new], gram[new]
             cuts = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
             for a, b in zip(cuts, np.append(cuts[1:], len(owner))):
                 id_ = int(owner[a])
@@ -432,5 +437,5 @@ def one_of_each(docs: DataFrame, words: int = WORDS) -> DataFrame:
     Rows without an id are groups of their own: all are kept.
     """
     found = similar_documents(docs, words)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(kept, docs["doc_id"] == F.col("__id"), "left_semi").unionByName(docs.where("doc_id IS NULL"))
+    kept = found.where("doc_id = component_id").select("doc_id").distinct()
+    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))

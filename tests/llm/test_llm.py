@@ -83,7 +83,8 @@ def test_similar_documents(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got if r.doc_id is not None} == want
     kept = ngram_join.one_of_each(docs(spark, pairs))
     assert kept.columns == docs(spark, pairs).columns
-    assert {r.doc_id for r in kept.collect()} == {i for i, (_, c) in want.items() if i == c}
+    firsts = {i for i, (_, c) in want.items() if i == c}
+    assert {r.doc_id for r in kept.collect()} == firsts | {i for i, _ in pairs if i is None}
 
 
 def test_components(spark):
@@ -93,6 +94,45 @@ def test_components(spark):
     assert all(reached[i] == 0 for i in range(31)) and reached[60] == reached[50] == 40
 
 
+def test_repeated_rows_over_partitions(spark):
+    """A row that another partition repeats shares no n-gram with itself, and links with no more texts than once."""
+    words = [f"a{i}" for i in range(104)]
+    other = words[:64] + [f"b{i}" for i in range(40)]
+    sharing = [(20 + k, " ".join(other[60:] + [f"c{k}_{j}" for j in range(70)])) for k in range(6)]
+    pairs = [(4, " ".join(words)), (10, " ".join(other)), *sharing]
+    want = brute_components(pairs)
+    assert want[10][1] == 10
+    frame = docs(spark, pairs)
+    again = docs(spark, pairs[:1]).repartition(3)
+    for extra in (again, again.unionByName(again), frame):
+        rows = frame.repartition(9).unionByName(extra)
+        got = ngram_join.similar_documents(rows).collect()
+        assert {(r.doc_id, r.n_shingles, r.component_id) for r in got} == {(i, n, c) for i, (n, c) in want.items()}
+        assert len(got) == rows.count()
+
+
+def test_one_of_each_with_other_columns(spark):
+    rows = spark.createDataFrame([(1, "a b c d e f", 5, 6), (2, "a b c d e f", 7, 8)], "doc_id bigint, text string, __id int, component_id int")
+    assert [tuple(r) for r in ngram_join.one_of_each(rows).collect()] == [(1, "a b c d e f", 5, 6)]
+
+
+def test_components_of_a_long_chain(spark, monkeypatch):
+    """A path over ascending ids takes rounds by its logarithm, and plans stay shallow."""
+    from millrace.llm import components as module
+
+    stored, rounds = module.stored, []
+
+    def counted(df, purpose):
+        rounds.append(len(df._jdf.queryExecution().optimizedPlan().toString()))
+        return stored(df, purpose)
+
+    monkeypatch.setattr(module, "stored", counted)
+    chain = spark.range(1000).selectExpr("id AS a", "id + 1 AS b").repartition(3)
+    found = module.components(chain).collect()
+    assert len(found) == 1001 and {r.component for r in found} == {0}
+    assert len(rounds) <= 13 and rounds[-1] <= 1.2 * rounds[1]
+
+
 def test_one_of_each_keeps_rows_without_id(spark):
     pairs = [(1, "a b c d e f"), (2, "a b c d e f"), (None, "a b c d e f"), (None, "u v w x y z"), (None, None)]
     kept = ngram_join.one_of_each(docs(spark, pairs)).collect()
@@ -153,11 +193,13 @@ def test_packing(spark):
     from tokenizers import Tokenizer
 
     plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    plain.encode_special_tokens = True
-    rows = packing.pack(docs(spark, AWKWARD)).collect()
+    special = ["a <|endoftext|> b", "<|endoftext|>", "two  <|endoftext|>  blanks", "x<|endoftext|>y " * 900]
+    pairs = AWKWARD + [(7000 + i, t) for i, t in enumerate(special)]
+    assert packing.part_ids(packing.vocabulary()).of(special[0]) == np.array([64, 220, 50256, 275], "<u4").tobytes()
+    rows = packing.pack(docs(spark, pairs)).collect()
     check_packing(rows, 2048)
     wanted = collections.Counter()
-    for i, text in AWKWARD:
+    for i, text in pairs:
         ids = plain.encode(text or "", add_special_tokens=False).ids + [0]
         first, start, piece = len(ids) % 2048 or 2048, 0, 0
         while start < len(ids):
