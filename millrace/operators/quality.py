@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -35,3 +35,16 @@ def rule_counts(df: DataFrame, rules: dict[str, str]) -> DataFrame:
         for i, name in enumerate(rules)
     ]
     return one.select(F.inline(F.array(*entries)))
+
+
+def observed(df: DataFrame, rules: dict[str, str]) -> tuple[DataFrame, Observation]:
+    """``df``, which counts its rows and those that break a rule while it is written."""
+    counts = Observation()
+    return df.observe(counts, *_counts(rules)), counts
+
+
+def observed_counts(spark: SparkSession, counts: Observation, rules: dict[str, str]) -> DataFrame:
+    """One row per rule (rule, passed, failed) of what has been written."""
+    found = counts.get
+    rows = [(name, found["rows"] - found[f"failed_{i}"], found[f"failed_{i}"]) for i, name in enumerate(rules)]
+    return spark.createDataFrame(rows, "rule string, passed bigint, failed bigint")

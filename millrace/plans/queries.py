@@ -10,6 +10,7 @@ from datetime import date, timedelta
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.models import logistic
 from millrace.models.registry import Registry, current_stages, latest_run, latest_runs
@@ -101,6 +102,26 @@ def rescue_conform(spark: SparkSession, sf: str) -> DataFrame:
     return conform(raw, views.EVENT_ACTIVITY)
 
 
+def rescue_fractions(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys with fractions, dates with a time of day and a field inside a struct that do not fit as they are."""
+    o, i = spark.read.parquet(f"{sf}/orders.parquet"), F.col("o_orderkey")
+    noon = F.col("o_orderdate").cast("date").cast("timestamp") + F.when(i % 11 == 0, F.expr("INTERVAL 12 HOURS")).otherwise(F.expr("INTERVAL 0 HOURS"))
+    raw = o.select(
+        i.alias("order_key"),
+        (F.col("o_custkey") + F.when(i % 7 == 0, 0.5).otherwise(0.0)).alias(CUSTOMER),
+        noon.alias(DATE),
+        F.struct((i % 3 + F.when(i % 5 == 0, 0.25).otherwise(0.0)).alias("part")).alias("nested"),
+    )
+    schema = "order_key bigint, customer_number int, date date, nested struct<part: int>"
+    found = conform(raw, T._parse_datatype_string(schema))
+    text = F.col(RESCUED)
+    return found.select(
+        "order_key", CUSTOMER, DATE, F.get_json_object(text, "$.customer_number").cast("double").alias("key_rescued"),
+        F.get_json_object(text, "$.date").isNotNull().alias("date_rescued"), F.col("nested.part").alias("nested"),
+        text.isNotNull().alias("rescued"),
+    )
+
+
 def generate_activity(spark: SparkSession, sf: str) -> DataFrame:
     ids = scan.scan(spark, views.events_path(sf)).select("event_id")
     return activity_for(ids, "event_id", views.EVENTS_AS_OF)
@@ -269,8 +290,8 @@ def _order_windows(spark: SparkSession, sf: str) -> DataFrame:
     return drift.drift_windows(views.activity_orders(spark, sf), views.ORDERS_AS_OF)
 
 
-def _rounded(report: DataFrame) -> DataFrame:
-    return report.withColumn("score", F.round("score", 7))
+def _rounded(report: DataFrame, digits: int = 7) -> DataFrame:
+    return report.withColumn("score", F.round("score", digits))
 
 
 def drift_windows(spark: SparkSession, sf: str) -> DataFrame:
@@ -283,19 +304,63 @@ def drift_ks(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def drift_ks_orders(spark: SparkSession, sf: str) -> DataFrame:
-    scores = drift.ks_scores(_order_windows(spark, sf), method="exact")
+    scores = drift.ks_scores(_order_windows(spark, sf))
     return scores.select(
         "feature", "n1", "n2", F.round("d", 9).alias("d"), F.round("p_value", 7).alias("p_value")
     )
 
 
 def drift_ks_history(spark: SparkSession, sf: str) -> DataFrame:
+    scores = drift.ks_distance(_history_windows(spark, sf))
+    return scores.select("feature", "n1", "n2", F.round("d", 9).alias("d"))
+
+
+def _history_windows(spark: SparkSession, sf: str) -> DataFrame:
     """All orders in two windows split at mid-2000: both samples grow with the table."""
-    rows = drift.drift_windows(
-        views.activity_orders(spark, sf), views.ORDERS_AS_OF, begin_days=3000, mid_days=400
+    return drift.drift_windows(views.activity_orders(spark, sf), views.ORDERS_AS_OF, begin_days=3000, mid_days=400)
+
+
+def drift_ks_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """A heavy-tailed feature with few buckets: what stays undecided is put in order by ranges."""
+    spread = F.exp(4 * ((F.col("order_key") * 7919 % 1000003) / 1000003.0 - 0.5))
+    rows = views.activity_orders(spark, sf).select(DATE, (spread * F.col("feature1")).alias("feature1"), *[
+        F.lit(None).cast("double").alias(c) for c in ("feature2", "feature3")
+    ])
+    windows = drift.drift_windows(rows, views.ORDERS_AS_OF, begin_days=3000, mid_days=400)
+    scores = drift.ks_distance(windows, most_buckets=16, range_rows=2000)
+    return scores.where("n1 > 0").select("feature", "n1", "n2", F.round("d", 9).alias("d"))
+
+
+def drift_psi_numeric(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(drift.binned_scores(_order_windows(spark, sf)), 9)
+
+
+def drift_jensen_shannon_numeric(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(drift.binned_scores(_history_windows(spark, sf), test=drift.JENSEN_SHANNON), 9)
+
+
+def drift_jensen_shannon(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(drift.categorical_scores(_order_windows(spark, sf), ["feature4", CUSTOMER], drift.JENSEN_SHANNON), 9)
+
+
+def drift_chi_square(spark: SparkSession, sf: str) -> DataFrame:
+    """Few categories, a number taken as a category, and thousands of categories some of which one window lacks."""
+    return _rounded(drift.categorical_scores(_history_windows(spark, sf), ["feature4", "feature2", CUSTOMER]))
+
+
+def drift_wasserstein(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(drift.wasserstein_scores(_history_windows(spark, sf), range_rows=4000)).withColumn(
+        "distance", F.round("distance", 4)
     )
-    scores = drift.ks_distance(rows)
-    return scores.select("feature", "n1", "n2", F.round("d", 9).alias("d"))
+
+
+def drift_report_tests(spark: SparkSession, sf: str) -> DataFrame:
+    """A test of its own for every feature, all from one pass of counts."""
+    report = drift.drift_report(
+        _history_windows(spark, sf), num_stattest="ks", cat_stattest="chisquare", categorical_threshold=0.05,
+        stattests={"feature2": "wasserstein", "feature3": "jensenshannon"}, thresholds={"feature2": 0.1},
+    )
+    return _rounded(report)
 
 
 def drift_psi(spark: SparkSession, sf: str) -> DataFrame:
@@ -378,7 +443,7 @@ def registry_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
         registry.register(model, rows, "orders_model", tags={"rows": str(n)}, as_of=views.ORDERS_AS_OF)
     scored = logistic.predict(registry.load("orders_model"), rows, views.ORDERS_AS_OF)
     counted = scored.agg(F.count(PREDICTION)).first()[0]
-    return registry.stages().select("version", "stage").withColumn("scored", F.lit(counted))
+    return registry.stages().select("version", "stage").withColumn("scored", F.lit(counted).cast("bigint"))
 
 
 def registry_latest_run(spark: SparkSession, sf: str) -> DataFrame:
@@ -542,6 +607,8 @@ QUERIES: dict[str, Query] = {
         bronze_stream_ingest, dq_expect_or_drop_stream, dq_metrics_stream,
         silver_scd1_stream, silver_scd1_daily_stream, run_medallion, refresh_training_table,
         refresh_online_features, score_and_evaluate, silver_deletes_stream, bronze_mixed_schemas,
-        silver_same_day_correction, feature_table_merge,
+        silver_same_day_correction, feature_table_merge, drift_ks_ranges, drift_psi_numeric,
+        drift_jensen_shannon_numeric, drift_jensen_shannon, drift_chi_square, drift_wasserstein, drift_report_tests,
+        rescue_fractions,
     )
 }

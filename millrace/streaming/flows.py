@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from millrace.operators.quality import rule_counts
+from millrace.operators.quality import observed, observed_counts, rule_counts
 from millrace.sinks.snapshots import PREFIX, merge_changes
 from millrace.sources import scan
 from millrace.sources.exists import data_exists, matching_paths
@@ -62,11 +62,11 @@ def land_files(
         parts = [shape(rows) for rows in scan.by_schema(batch.sparkSession, batch)]
         if not parts:
             return
-        rows = reduce(DataFrame.unionByName, parts)
-        folder = batch_folder(target, batch_id)
-        rows.write.mode("overwrite").parquet(folder)
-        landed = batch.sparkSession.read.schema(rows.schema).parquet(folder)
-        rule_counts(landed, rules).coalesce(1).write.mode("overwrite").parquet(batch_folder(counts, batch_id))
+        # Counted in the pass that writes.
+        rows, counted = observed(reduce(DataFrame.unionByName, parts), rules)
+        rows.write.mode("overwrite").parquet(batch_folder(target, batch_id))
+        found = observed_counts(batch.sparkSession, counted, rules)
+        found.coalesce(1).write.mode("overwrite").parquet(batch_folder(counts, batch_id))
 
     files = scan.new_files(spark, path, files_per_batch)
     _run(files.writeStream.foreachBatch(land), checkpoint, target, f"{BATCH}*")

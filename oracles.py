@@ -106,24 +106,6 @@ ks AS (
   FROM cum GROUP BY feature)
 """
 
-# Exact p-value: probability that a random lattice path from (0, 0) to (n1, n2)
-# does not stay below the gap.
-EXACT_PVALUE = """,
-walk AS (
-  SELECT feature, n1, n2, gap, 0::BIGINT AS k,
-         list_transform(range(0, n1 + 1), lambda i: CASE WHEN i = 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS inside
-  FROM ks
-  UNION ALL
-  SELECT feature, n1, n2, gap, k + 1,
-         list_transform(inside, lambda x, p:
-           CASE WHEN k + 1 - (p - 1) BETWEEN 0 AND n2 AND abs((p - 1) * n2 - (k + 2 - p) * n1) < gap
-                THEN x * (n2 - (k + 1 - (p - 1)) + 1) / (n1 + n2 - k)
-                     + CASE WHEN p > 1 THEN inside[p - 1] * (n1 - (p - 1) + 1) / (n1 + n2 - k) ELSE 0.0::DOUBLE END
-                ELSE 0.0::DOUBLE END)
-  FROM walk WHERE k < n1 + n2),
-pv AS (SELECT feature, 1 - inside[n1 + 1] AS p_value FROM walk WHERE k = n1 + n2)
-"""
-
 # Limit distribution with a finite-sample correction.
 PVALUE = """,
 lim AS (
@@ -137,15 +119,7 @@ pv AS (
 """
 
 
-def _psi(features: list[str]) -> str:
-    rows = " UNION ALL ".join(
-        f"SELECT side, '{f}' AS feature, CAST({f} AS VARCHAR) AS v FROM w" for f in features
-    )
-    return f""",
-cats AS ({rows}),
-ccnt AS (
-  SELECT feature, v, count(*) FILTER (side = 'baseline') AS c1, count(*) FILTER (side = 'current') AS c2
-  FROM cats WHERE v IS NOT NULL GROUP BY feature, v),
+PSI = """,
 shares AS (
   SELECT feature, c1, c2,
          sum(c1) OVER p AS n1, sum(c2) OVER p AS n2,
@@ -165,6 +139,82 @@ psi AS (
 """
 
 
+def _psi(features: list[str]) -> str:
+    rows = " UNION ALL ".join(
+        f"SELECT side, '{f}' AS feature, CAST({f} AS VARCHAR) AS v FROM w" for f in features
+    )
+    return f""",
+cats AS ({rows}),
+ccnt AS (
+  SELECT feature, v, count(*) FILTER (side = 'baseline') AS c1, count(*) FILTER (side = 'current') AS c2
+  FROM cats WHERE v IS NOT NULL GROUP BY feature, v)""" + PSI
+
+
+def _binned(windows: str, features: list[str]) -> str:
+    """Counts (feature, v, c1, c2) per equal step, or per value where the baseline has 20 values or fewer."""
+    rows = " UNION ALL ".join(f"SELECT side, '{f}' AS feature, {f} AS x FROM w WHERE {f} IS NOT NULL" for f in features)
+    return "WITH " + windows + f""",
+nums AS ({rows}),
+ends AS (
+  SELECT feature, min(x) AS low, max(x) AS high, ceil(log2(count(*)) + 1) AS k, count(DISTINCT x) FILTER (side = 'baseline') AS kinds
+  FROM nums GROUP BY feature),
+ccnt AS (
+  SELECT feature, CASE WHEN kinds > 20 THEN least(k - 1, floor((x - low) * k / (high - low))) ELSE x END AS v,
+         count(*) FILTER (side = 'baseline') AS c1, count(*) FILTER (side = 'current') AS c2
+  FROM nums JOIN ends USING (feature) GROUP BY ALL)"""
+
+
+def _categories(windows: str, features: list[str]) -> str:
+    rows = " UNION ALL ".join(
+        f"SELECT side, '{f}' AS feature, CAST({f} AS VARCHAR) AS v FROM w WHERE {f} IS NOT NULL" for f in features
+    )
+    return "WITH " + windows + f""",
+cats AS ({rows}),
+ccnt AS (
+  SELECT feature, v, count(*) FILTER (side = 'baseline') AS c1, count(*) FILTER (side = 'current') AS c2
+  FROM cats GROUP BY feature, v)"""
+
+
+# Scores of the counts per feature and value.
+JENSEN_SHANNON = """,
+js AS (
+  SELECT feature, CAST(max(n1) AS BIGINT) AS n1, CAST(max(n2) AS BIGINT) AS n2,
+         sqrt(greatest(sum(CASE WHEN r > 0 THEN r * ln(2 * r / (r + c)) ELSE 0 END
+                           + CASE WHEN c > 0 THEN c * ln(2 * c / (r + c)) ELSE 0 END) / 2, 0)) AS score
+  FROM (SELECT feature, sum(c1) OVER p AS n1, sum(c2) OVER p AS n2, c1 / (sum(c1) OVER p)::DOUBLE AS r, c2 / (sum(c2) OVER p)::DOUBLE AS c
+        FROM ccnt WINDOW p AS (PARTITION BY feature))
+  GROUP BY feature)
+"""
+
+# The lower regularised incomplete gamma function as a plain sum over logarithms.
+CHI_SQUARE = """,
+stat AS (
+  SELECT feature, max(n1) AS n1, max(n2) AS n2, min(c1) AS least, (count(*) - 1) / 2.0 AS a,
+         sum((c2 - c1 * n2 / n1) * (c2 - c1 * n2 / n1) / nullif(c1 * n2 / n1, 0)) / 2 AS x
+  FROM (SELECT feature, c1::DOUBLE AS c1, c2::DOUBLE AS c2, (sum(c1) OVER p)::DOUBLE AS n1, (sum(c2) OVER p)::DOUBLE AS n2
+        FROM ccnt WINDOW p AS (PARTITION BY feature))
+  GROUP BY feature),
+chi AS (
+  SELECT feature, CAST(n1 AS BIGINT) AS n1, CAST(n2 AS BIGINT) AS n2,
+         CASE WHEN least = 0 THEN 0 WHEN a = 0 OR x <= 0 THEN 1 ELSE greatest(0, 1 - list_sum(list_transform(
+           range(0, 2000), lambda j: exp((a + j) * ln(x) - x - lgamma(a + j + 1))))) END AS score
+  FROM stat)
+"""
+
+WASSERSTEIN = """,
+dist AS (
+  SELECT feature, CAST(max(n1) AS BIGINT) AS n1, CAST(max(n2) AS BIGINT) AS n2,
+         sum(coalesce((nv - v) * abs(c1 / n1::DOUBLE - c2 / n2::DOUBLE), 0)) AS distance
+  FROM (SELECT feature, v, lead(v) OVER p AS nv, sum(c1) OVER p AS c1, sum(c2) OVER p AS c2,
+               sum(c1) OVER (PARTITION BY feature) AS n1, sum(c2) OVER (PARTITION BY feature) AS n2
+        FROM cnt WINDOW p AS (PARTITION BY feature ORDER BY v))
+  GROUP BY feature),
+wd AS (
+  SELECT feature, n1, n2, distance, distance / greatest(dev, 0.001) AS score
+  FROM dist JOIN (SELECT feature, stddev_pop(v) AS dev FROM vals WHERE side = 'baseline' GROUP BY feature) USING (feature))
+"""
+
+
 def _report(windows: str, own: str = "") -> str:
     return "WITH RECURSIVE " + windows + KS + PVALUE + _psi(["feature4"]) + f""",
 limits AS (SELECT 'feature1' AS feature, 0.15::DOUBLE AS threshold UNION ALL SELECT 'feature2', {own or '0.15'}::DOUBLE
@@ -307,11 +357,50 @@ FROM od t JOIN pr p ON t.date = p.date AND t.customer_number = p.customer_number
     "drift_ks": f"WITH {EVENT_WINDOWS} {KS} SELECT feature, n1, n2, round(gap / (n1::DOUBLE * n2), 9) AS d FROM ks",
     "drift_ks_history": f"WITH {HISTORY_WINDOWS} {KS} SELECT feature, n1, n2, round(gap / (n1::DOUBLE * n2), 9) AS d FROM ks",
     "drift_ks_orders": f"""
-WITH RECURSIVE {ORDER_WINDOWS} {KS} {EXACT_PVALUE}
+WITH RECURSIVE {ORDER_WINDOWS} {KS} {PVALUE}
 SELECT feature, n1, n2, round(gap / (n1::DOUBLE * n2), 9) AS d, round(p_value, 7) AS p_value
 FROM ks JOIN pv USING (feature)""",
     "drift_psi": f"WITH {EVENT_WINDOWS} {_psi(['feature4'])} SELECT feature, n1, n2, round(psi, 9) AS psi FROM psi",
     "drift_psi_orders": f"WITH {ORDER_WINDOWS} {_psi(['feature4', 'customer_number'])} SELECT feature, n1, n2, round(psi, 9) AS psi FROM psi",
+    "drift_psi_numeric": _binned(ORDER_WINDOWS, ["feature1", "feature2", "feature3"]) + PSI
+    + " SELECT feature, n1, n2, round(psi, 9) AS score FROM psi",
+    "drift_jensen_shannon_numeric": _binned(HISTORY_WINDOWS, ["feature1", "feature2", "feature3"]) + JENSEN_SHANNON
+    + " SELECT feature, n1, n2, round(score, 9) AS score FROM js",
+    "drift_jensen_shannon": _categories(ORDER_WINDOWS, ["feature4", "customer_number"]) + JENSEN_SHANNON
+    + " SELECT feature, n1, n2, round(score, 9) AS score FROM js",
+    "drift_chi_square": _categories(HISTORY_WINDOWS, ["feature4", "feature2", "customer_number"]) + CHI_SQUARE
+    + " SELECT feature, n1, n2, round(score, 7) AS score FROM chi",
+    "drift_wasserstein": f"WITH {HISTORY_WINDOWS} {KS} {WASSERSTEIN} "
+    + "SELECT feature, n1, n2, round(distance, 4) AS distance, round(score, 7) AS score FROM wd",
+    "drift_ks_ranges": f"""
+WITH {ORDERS}, sk AS (
+  SELECT date, exp(4 * ((order_key * 7919 % 1000003) / 1000003.0 - 0.5)) * feature1 AS feature1, NULL::DOUBLE AS feature2, NULL::DOUBLE AS feature3
+  FROM od), {_windows("sk", "1993-05-15", "2000-06-27")} {KS}
+SELECT feature, n1, n2, round(gap / (n1::DOUBLE * n2), 9) AS d FROM ks""",
+    "drift_report_tests": f"""
+WITH RECURSIVE {HISTORY_WINDOWS} {KS} {PVALUE} {WASSERSTEIN}, {_binned("XX", ["feature3"]).split("XX,", 1)[1]} {JENSEN_SHANNON},
+kcnt AS (
+  SELECT feature4 AS v, count(*) FILTER (side = 'baseline') AS c1, count(*) FILTER (side = 'current') AS c2 FROM w WHERE feature4 IS NOT NULL GROUP BY feature4),
+chi AS (
+  SELECT max(n1) AS n1, max(n2) AS n2, (count(*) - 1) / 2.0 AS a,
+         sum((c2 - c1 * n2 / n1) * (c2 - c1 * n2 / n1) / (c1 * n2 / n1)) / 2 AS x
+  FROM (SELECT c1::DOUBLE AS c1, c2::DOUBLE AS c2, (sum(c1) OVER ())::DOUBLE AS n1, (sum(c2) OVER ())::DOUBLE AS n2 FROM kcnt)),
+report AS (
+  SELECT feature, 'ks' AS stattest, n1, n2, p_value AS score, 0.15::DOUBLE AS threshold, p_value <= 0.15 AS detected FROM ks JOIN pv USING (feature) WHERE feature = 'feature1'
+  UNION ALL SELECT feature, 'wasserstein', n1, n2, score, 0.1, score >= 0.1 FROM wd WHERE feature = 'feature2'
+  UNION ALL SELECT feature, 'jensenshannon', n1, n2, score, 0.15, score >= 0.15 FROM js
+  UNION ALL SELECT 'feature4', 'chisquare', CAST(n1 AS BIGINT), CAST(n2 AS BIGINT), p, 0.05, p <= 0.05 FROM (
+    SELECT *, 1 - list_sum(list_transform(range(0, 2000), lambda j: exp((a + j) * ln(x) - x - lgamma(a + j + 1)))) AS p FROM chi))
+SELECT feature, stattest, n1, n2, round(score, 7) AS score, threshold, detected FROM report""",
+    "rescue_fractions": """
+SELECT o_orderkey AS order_key,
+       CASE WHEN o_orderkey % 7 <> 0 THEN CAST(o_custkey AS INTEGER) END AS customer_number,
+       CASE WHEN o_orderkey % 11 <> 0 THEN CAST(o_orderdate AS DATE) END AS date,
+       CASE WHEN o_orderkey % 7 = 0 THEN CAST(o_custkey + 0.5 AS DOUBLE) END AS key_rescued,
+       o_orderkey % 11 = 0 AS date_rescued,
+       CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_orderkey % 3 AS INTEGER) END AS nested,
+       o_orderkey % 7 = 0 OR o_orderkey % 11 = 0 OR o_orderkey % 5 = 0 AS rescued
+FROM orders""",
     "drift_report": _report(EVENT_WINDOWS)
     + " SELECT feature, stattest, n1, n2, round(score, 7) AS score, threshold, detected FROM report",
     "drift_report_orders": _report(ORDER_WINDOWS, "0.9")

@@ -5,7 +5,10 @@ from datetime import date
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from conftest import rows
+from millrace.functions.significance import chi_square_pvalue
 from millrace.operators import drift
 
 
@@ -140,3 +143,150 @@ def test_windows_of_one_scan(spark):
     ).withColumn("date", F.to_date("date"))
     out = drift.drift_windows(df, date(2024, 1, 22), begin_days=21, mid_days=7)
     assert rows(out, "feature1", "side") == [(1, "baseline"), (2, "baseline"), (3, "current")]
+
+
+# Published table of the chi-square distribution, (degrees of freedom, value, upper tail).
+CHI_TABLE = [
+    (1, 3.841, 0.05), (1, 6.635, 0.01), (2, 5.991, 0.05), (3, 11.345, 0.01), (4, 1.064, 0.9), (5, 9.236, 0.1),
+    (10, 18.307, 0.05), (10, 4.865, 0.9), (30, 43.773, 0.05), (100, 124.342, 0.05), (100, 77.929, 0.95),
+]
+
+
+def test_chi_square_pvalues_equal_a_table(spark):
+    got = spark.createDataFrame(CHI_TABLE, "k int, x double, p double").select(
+        "p", chi_square_pvalue(F.col("k"), F.col("x")).alias("own")
+    ).collect()
+    assert all(r["own"] == pytest.approx(r["p"], rel=2e-3) for r in got)
+    # Two degrees of freedom have a closed form; so has the sum over a Poisson distribution for even ones.
+    exact = [(2, x, math.exp(-x / 2)) for x in (1e-9, 0.3, 2.0, 3.999, 4.0, 50.0, 700.0)]
+    for k, x in ((40, 25.0), (40, 90.0), (4000, 3900.0), (4000, 4200.0), (100_000, 100_500.0)):
+        logs = [j * math.log(x / 2) - x / 2 - math.lgamma(j + 1) for j in range(k // 2)]
+        exact.append((k, x, sum(map(math.exp, logs))))
+    got = spark.createDataFrame(exact, "k int, x double, p double").select(
+        "p", chi_square_pvalue(F.col("k"), F.col("x")).alias("own")
+    ).collect()
+    assert all(r["own"] == pytest.approx(r["p"], rel=1e-6, abs=1e-12) for r in got)
+    odd = spark.sql("SELECT 0 AS k, 5D AS x UNION ALL SELECT 3, 0D").select(chi_square_pvalue(F.col("k"), F.col("x"))).collect()
+    assert [r[0] for r in odd] == [1.0, 1.0]
+
+
+def plain_wasserstein(a, b):
+    points = sorted({*a, *b})
+    return sum(
+        (y - x) * abs(sum(v <= x for v in a) / len(a) - sum(v <= x for v in b) / len(b)) for x, y in itertools.pairwise(points)
+    )
+
+
+@pytest.mark.parametrize("shape", ["few values", "one hot value", "continuous", "one value"])
+@pytest.mark.parametrize("range_rows", [7, 500_000])
+def test_wasserstein_equals_brute_force(spark, shape, range_rows):
+    rng = random.Random(len(shape))
+    a = [SHAPES[shape](rng, 0.0) for _ in range(200)]
+    b = [SHAPES[shape](rng, 0.7) for _ in range(150)]
+    df = two(spark, [(x, -x) for x in a], [(x, None) for x in b], "x double, y double")
+    x, y = drift.wasserstein_scores(df, ["x", "y"], range_rows).orderBy("feature").collect()
+    mean = sum(a) / len(a)
+    deviation = max(math.sqrt(sum((v - mean) ** 2 for v in a) / len(a)), 0.001)
+    assert x["distance"] == pytest.approx(plain_wasserstein(a, b), abs=1e-9)
+    assert x["score"] == pytest.approx(plain_wasserstein(a, b) / deviation, abs=1e-7)
+    assert (y["n1"], y["n2"], y["distance"], y["score"]) == (200, 0, None, None)
+
+
+def plain_shares(a, b, steps):
+    if steps:
+        low, high = min(a + b), max(a + b)
+        k = math.ceil(math.log2(len(a + b)) + 1)
+        a, b = ([min(k - 1, math.floor((x - low) * k / (high - low))) for x in side] for side in (a, b))
+    return [(a.count(v) / len(a), b.count(v) / len(b)) for v in sorted({*a, *b}, key=str)]
+
+
+def plain_jensen_shannon(shares):
+    return math.sqrt(max(sum(x * math.log(2 * x / (r + c)) for r, c in shares for x in (r, c) if x) / 2, 0))
+
+
+def plain_psi(shares):
+    floors = [min(s[i] for s in shares if s[i]) for i in (0, 1)]
+    filled = [[x or (floors[i] / 1e6 if floors[i] <= 1e-4 else 1e-4) for i, x in enumerate(s)] for s in shares]
+    return sum((r - c) * math.log(r / c) for r, c in filled)
+
+
+@pytest.mark.parametrize("shape, steps", [("continuous", True), ("few values", False), ("same distribution", True)])
+def test_binned_scores_equal_plain_reckoning(spark, shape, steps):
+    rng = random.Random(11)
+    a = [SHAPES[shape](rng, 0.0) for _ in range(300)]
+    b = [SHAPES[shape](rng, 1.0) for _ in range(200)]
+    df = two(spark, [(x,) for x in a], [(x,) for x in b] + [(None,), (float("nan"),), (float("inf"),)], "x double")
+    shares = plain_shares(a, b, steps)
+    for test, plain in (("psi", plain_psi), ("jensenshannon", plain_jensen_shannon)):
+        row = drift.binned_scores(df, ["x"], test).first()
+        assert (row["n1"], row["n2"]) == (300, 200) and row["score"] == pytest.approx(plain(shares), abs=1e-9)
+
+
+def test_categorical_tests(spark):
+    a, b = ["p"] * 60 + ["q"] * 30 + ["r"] * 10, ["p"] * 25 + ["q"] * 20 + ["r"] * 5
+    df = two(spark, [(x, "s", x, None) for x in a], [(x, "s", "new", "t") for x in b], "c string, one string, d string, none string")
+    found = {r["feature"]: r["score"] for r in drift.categorical_scores(df, ["c", "one", "d", "none"]).collect()}
+    statistic = (25 - 30) ** 2 / 30 + (20 - 15) ** 2 / 15 + 0
+    assert found["c"] == pytest.approx(math.exp(-statistic / 2), abs=1e-9)
+    assert (found["one"], found["d"], found["none"]) == (1.0, 0.0, None)
+    js = {r["feature"]: r["score"] for r in drift.categorical_scores(df, ["c", "one"], "jensenshannon").collect()}
+    assert js["c"] == pytest.approx(plain_jensen_shannon(plain_shares(a, b, False))) and js["one"] == 0.0
+
+
+def test_report_with_tests_of_choice_reads_the_rows_twice(spark, tmp_path):
+    """A sketch pass and a counting pass, whatever the tests; names may be numbers and categories at once."""
+    rng = random.Random(3)
+    rows_ = [(i % 2, rng.gauss(0, 1), rng.randint(0, 90), rng.choice("ab")) for i in range(600)]
+    path = str(tmp_path / "rows")
+    spark.createDataFrame(rows_, "s int, x double, y int, c string").write.parquet(path)
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    source = spark.read.parquet(path).mapInArrow(seen, "s int, x double, y int, c string")
+    df = source.select(F.when(F.col("s") == 0, drift.BASELINE).otherwise(drift.CURRENT).alias("side"), "x", "y", "c")
+    report = drift.drift_report(
+        df, ["x", "y"], ["c", "y"], stattests={"c": "chisquare"}, num_stattest="psi", cat_stattest="jensenshannon",
+        thresholds={"x": 0.5, "y": 0.9},
+    )
+    found = {(r["feature"], r["stattest"]): r for r in report.collect()}
+    assert read.value == 2 * 600
+    assert set(found) == {("x", "psi"), ("y", "psi"), ("c", "chisquare"), ("y", "jensenshannon")}
+    with pytest.raises(ValueError, match="tests are"):
+        drift.drift_report(df, ["x"], [], num_stattest="chisquare")
+
+
+def test_heavy_tails_are_dealt_over_ranges_of_like_size(spark, monkeypatch):
+    """exp(4 * normal): one bucket of a grid may hold nearly all values, no range does."""
+    rng = random.Random(9)
+    a = [math.exp(4 * rng.gauss(0, 1)) for _ in range(3000)]
+    b = [math.exp(4 * rng.gauss(0.02, 1)) for _ in range(3000)]
+    df = two(spark, [(x,) for x in a], [(x,) for x in b], "x double")
+    sizes = []
+    plain = drift.stored
+
+    def kept(frame, purpose):
+        out = plain(frame, purpose)
+        if purpose == "ranges":
+            sizes.extend(r["count"] for r in out[0].groupBy("range").count().collect())
+        return out
+
+    monkeypatch.setattr(drift, "stored", kept)
+    row = drift.ks_distance(df, ["x"], most_buckets=4, range_rows=50).first()
+    assert row["gap"] == brute_distance(a, b)
+    assert len(sizes) > 3 and max(sizes) < 150
+
+
+@pytest.mark.parametrize("range_rows", [1, 3, 100])
+def test_running_counts_over_ranges(spark, range_rows):
+    rows_ = [("f", float(i), i % 3, (i * 7) % 4) for i in range(40)] + [("g", float(-i), 1, 0) for i in range(5)]
+    counted = spark.createDataFrame(rows_, "feature string, v double, n1 bigint, n2 bigint").repartition(4)
+    got = {(r["feature"], r["v"]): (r["upto1"], r["upto2"], r["next"]) for r in drift.in_order(counted, "v", range_rows=range_rows).collect()}
+    for name in "fg":
+        own = sorted(r[1:] for r in rows_ if r[0] == name)
+        for i, (v, _, _) in enumerate(own):
+            after = own[i + 1][0] if i + 1 < len(own) else None
+            assert got[name, v] == (sum(r[1] for r in own[: i + 1]), sum(r[2] for r in own[: i + 1]), after)

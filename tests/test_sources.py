@@ -3,6 +3,7 @@ from datetime import date
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from conftest import rows
 from millrace.schema import ACTIVITY, RESCUED
@@ -122,3 +123,36 @@ def test_conform_of_fitting_rows_changes_nothing(spark):
     out = conform(df, ACTIVITY)
     assert rows(out.drop(RESCUED)) == rows(df)
     assert out.where(f"{RESCUED} IS NOT NULL").isEmpty()
+
+
+CASES = [
+    # type of the source, declared type, value, what fits of it, whether it is rescued
+    ("double", "int", "10.7", None, True), ("double", "int", "10.0", 10, False), ("double", "int", "1e12", None, True),
+    ("double", "bigint", "double('NaN')", None, True), ("decimal(10,2)", "int", "3.50", None, True), ("decimal(10,2)", "int", "3.00", 3, False),
+    ("bigint", "double", "9007199254740993", None, True), ("bigint", "double", "9007199254740992", 9007199254740992.0, False),
+    ("double", "float", "0.1", None, True), ("double", "float", "0.5", 0.5, False), ("int", "string", "7", "7", False),
+    ("timestamp", "date", "timestamp'2024-03-01 12:30:00'", None, True), ("timestamp", "date", "timestamp'2024-03-01 00:00:00'", DAY.replace(month=3, day=1), False),
+    ("string", "date", "'2024-03-01 12:30:00'", None, True), ("string", "date", "'2024-03-01'", DAY.replace(month=3, day=1), False),
+    ("string", "int", "'10.7'", None, True), ("string", "int", "'10'", 10, False), ("string", "int", "'x'", None, True),
+    ("string", "double", "'0.1'", 0.1, False), ("string", "decimal(6,2)", "'1.239'", None, True), ("int", "boolean", "5", None, True),
+    ("double", "int", "null", None, False), ("string", "int", "null", None, False),
+]
+
+
+def test_only_what_casts_without_loss_fits(spark):
+    for source, declared, value, want, misfit in CASES:
+        row = conform(spark.sql(f"SELECT CAST({value} AS {source}) AS v"), T._parse_datatype_string(f"v {declared}")).first()
+        assert (row["v"], row[RESCUED] is not None) == (want, misfit), (source, declared, value)
+
+
+def test_rescue_looks_into_structs_and_arrays(spark):
+    df = spark.sql("""
+        SELECT 1 AS id, named_struct('a', 1.5D, 'b', 'x') AS s, array(1D, 2.5D) AS l UNION ALL
+        SELECT 2, named_struct('a', 2D, 'b', 'y'), array(3D) UNION ALL
+        SELECT 3, CAST(NULL AS STRUCT<a: DOUBLE, b: STRING>), CAST(NULL AS ARRAY<DOUBLE>)""")
+    got = rows(conform(df, T._parse_datatype_string("id int, s struct<a: int, b: string>, l array<int>")))
+    assert got == [
+        (1, (None, "x"), [1, None], '{"s":{"a":1.5,"b":"x"},"l":[1.0,2.5]}'), (2, (2, "y"), [3], None), (3, None, None, None),
+    ]
+    more = conform(df.select("id", "s"), T._parse_datatype_string("id int, s struct<B: string, c: int>"))
+    assert [(r["s"], r[RESCUED] is not None) for r in more.orderBy("id").collect()] == [(("x", None), True), (("y", None), True), (None, False)]
