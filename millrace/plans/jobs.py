@@ -36,8 +36,8 @@ from millrace.streaming import flows
 
 
 def _history_partition(settings: Settings) -> list[str]:
-    # A snapshot keyed by day is partitioned by day: a merge then touches few days.
-    return [DATE] if DATE in settings.keys else []
+    # A snapshot keyed by day is partitioned by day: a merge then touches few days. Any other is dealt into buckets.
+    return [DATE] if DATE in settings.keys else [snapshots.bucket_column(settings.key_buckets)]
 
 
 def _snapshot_schema(schema: T.StructType) -> T.StructType:
@@ -145,10 +145,10 @@ def _refresh(
         rows = rows.select(*TRAINING_COLUMNS)
     else:
         rows = features.training_rows(rows, OFFLINE_KEYS, settings.order)
-    if since and feature_tables.table_exists(spark, name):
-        # Days that silver no longer has, emptied by deletes.
-        feature_tables.drop_vanished(spark, name, silver(spark, settings, schema), DATE, since)
+    vanished = since is not None and feature_tables.table_exists(spark, name)
     if silver(spark, settings, schema).where(F.col(DATE) >= F.lit(since) if since else F.lit(True)).isEmpty():
+        if vanished:
+            feature_tables.drop_vanished(spark, name, silver(spark, settings, schema), DATE, since)
         return False
     feature_tables.ensure_schema(spark, settings.offline_schema, settings.root)
     feature_tables.update_table(
@@ -162,6 +162,9 @@ def _refresh(
         check=False,
         rebalance=not same_keys,
     )
+    if vanished:
+        # Days that silver no longer has, emptied by deletes.
+        feature_tables.drop_vanished(spark, name, silver(spark, settings, schema), DATE, since)
     return True
 
 

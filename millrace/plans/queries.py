@@ -494,7 +494,7 @@ def _silver_stream(
 
 
 def silver_scd1_stream(spark: SparkSession, sf: str) -> DataFrame:
-    return _silver_stream(spark, sf, [CUSTOMER], [])
+    return _silver_stream(spark, sf, [CUSTOMER], [snapshots.bucket_column(16)])
 
 
 def silver_scd1_daily_stream(spark: SparkSession, sf: str) -> DataFrame:
@@ -502,7 +502,7 @@ def silver_scd1_daily_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def silver_deletes_stream(spark: SparkSession, sf: str) -> DataFrame:
-    return _silver_stream(spark, sf, [CUSTOMER], [], delete_when="feature4 = 'error'")
+    return _silver_stream(spark, sf, [CUSTOMER], [snapshots.bucket_column(16)], delete_when="feature4 = 'error'")
 
 
 # --- jobs ----------------------------------------------------------------------------

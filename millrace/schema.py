@@ -79,6 +79,8 @@ class Settings:
     stage: str = "Production"
     user: str = "batch"
     keep_versions: int = 2
+    # Folders that silver is dealt into by its keys where these hold no date; stays as it is for the life of the table.
+    key_buckets: int = 64
     raw_path: str | None = None
     # Decimals feature3 is known to hold; its sums are then exact whatever the row order.
     sum_digits: int | None = None

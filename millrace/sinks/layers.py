@@ -48,7 +48,8 @@ def name_snapshot(
     current = current_folders(spark, root, len(partition_by))
     if not current:
         return
-    stored = T.StructType([*schema.fields, T.StructField(DELETED, T.BooleanType())])
+    dealt = [T.StructField(c, T.IntegerType()) for c in partition_by if c not in schema.names]
+    stored = T.StructType([*schema.fields, T.StructField(DELETED, T.BooleanType()), *dealt])
     if not table_exists(spark, files):
         by = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
         spark.sql(

@@ -6,6 +6,10 @@ current table is, for each partition, the newest finished version that has it. A
 therefore reads and rewrites only the partitions its changes fall into, never a folder the
 same plan reads, and a write that failed or is repeated leaves readers untouched.
 
+A snapshot whose keys hold no date or number to partition by is dealt into buckets by a hash of its keys, so that
+there, too, a merge rewrites only the buckets of its changes. The number of buckets is part of the folder names and
+stays for the life of a snapshot.
+
 One writer at a time is assumed.
 """
 
@@ -18,14 +22,33 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.latest import DELETED, latest_by_key, with_deletes
-from millrace.sources.exists import matching_paths, remove
+from millrace.sources.exists import child_names, matching_paths, remove
 
 # Folder names look like a partition, so that one scan can take folders of several versions.
 PREFIX = "_snapshot="
+BUCKETS = "bucket_of_"
 # Up to this many partitions in a merge, every task writes its own file into each of them.
 FEW_PARTITIONS = 4
 
 
+def bucket_column(buckets: int) -> str:
+    """The partition column of a snapshot that is dealt into ``buckets`` by its keys."""
+    return f"{BUCKETS}{buckets}"
+
+
+def _buckets(partition_by: Sequence[str]) -> int:
+    name = partition_by[0] if len(partition_by) == 1 else ""
+    return int(name.removeprefix(BUCKETS)) if name.startswith(BUCKETS) else 0
+
+
+def with_bucket(rows: DataFrame, keys: Sequence[str], partition_by: Sequence[str]) -> DataFrame:
+    """``rows`` with their bucket, where ``partition_by`` is a column of buckets."""
+    buckets = _buckets(partition_by)
+    if not buckets:
+        return rows
+    return rows.withColumn(partition_by[0], F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+
+
 def folder_path(root: str, version: int) -> str:
     return f"{root}/{PREFIX}{version}"
 
@@ -67,6 +90,9 @@ def read_snapshot(
     stored = T.StructType(list(schema.fields))
     if DELETED not in stored.names:
         stored.add(DELETED, T.BooleanType())
+    dealt = [c for c in partition_by if _buckets(partition_by) and c not in stored.names]
+    for c in dealt:
+        stored.add(c, T.IntegerType())
     by_version: dict[int, list[str]] = {}
     for folder, v in wanted.items():
         by_version.setdefault(v, []).append(f"{folder_path(root, v)}{folder}")
@@ -77,6 +103,7 @@ def read_snapshot(
         # With the root as base path the version shows up as a partition column; the given
         # schema leaves it out.
         rows = spark.read.schema(stored).option("basePath", root).parquet(*paths).select(*stored.names)
+    rows = rows.drop(*dealt)
     if keep_deleted:
         return rows
     return rows.where(~F.coalesce(DELETED, F.lit(False))).drop(DELETED)
@@ -107,6 +134,15 @@ def touched_partitions(changes: DataFrame, partition_by: Sequence[str]) -> list[
     return [r[0] for r in changes.select(F.concat(*pieces)).distinct().collect()]
 
 
+def _same_layout(spark: SparkSession, root: str, version: int, partition_by: Sequence[str]) -> None:
+    """Raise where earlier versions are partitioned by other columns: their rows would not be found."""
+    earlier = [v for v in versions(spark, root) if v < version]
+    for v in earlier[-1:]:
+        names = {n.split("=")[0] for n in child_names(spark, folder_path(root, v)) if "=" in n}
+        if names != set(partition_by[:1]):
+            raise ValueError(f"{root} is partitioned by {sorted(names)}, not by {list(partition_by)}")
+
+
 def merge_changes(
     changes: DataFrame,
     root: str,
@@ -120,11 +156,15 @@ def merge_changes(
     """Upsert ``changes`` into the snapshot as version ``version``.
 
     ``partition_by`` has to be part of the keys, so that a key never moves between
-    partitions. Changes and current rows of the touched partitions go through one
+    partitions, or the ``bucket_column`` that the keys are dealt by. Changes and current rows of the touched partitions go through one
     newest-per-key aggregation, which also keeps an older change from replacing a newer
     row. Only versions below ``version`` are read: repeating a merge gives the same result.
     """
     spark = changes.sparkSession
+    changes = with_bucket(changes, keys, partition_by)
+    if _buckets(partition_by):
+        keys = [*keys, *partition_by]
+    _same_layout(spark, root, version, partition_by)
     for c in partition_by:
         kind = changes.schema[c].dataType
         if c not in keys or not isinstance(kind, (T.DateType, T.IntegralType)):

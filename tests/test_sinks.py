@@ -144,7 +144,7 @@ def current(spark, root, by=("day",)):
     return rows(snapshots.read_snapshot(spark, root, schema, list(by)))
 
 
-@pytest.mark.parametrize("by", [("day",), ()])
+@pytest.mark.parametrize("by", [("day",), (), (snapshots.bucket_column(5),)])
 def test_merges_keep_the_newest_row(spark, tmp_path, by):
     root = str(tmp_path / "t")
     assert current(spark, root, by) == []
@@ -204,3 +204,102 @@ def test_partitions_have_to_be_keys(spark, tmp_path):
     for column in ("seq", "v"):
         with pytest.raises(ValueError):
             snapshots.merge_changes(df, str(tmp_path / "t"), 1, ["k", "v"], ["seq"], [column])
+
+
+def files_of(spark, table, day):
+    found = spark.table(table).where(F.col("day") == F.lit(day)).select(F.input_file_name()).distinct().collect()
+    return {r[0] for r in found}
+
+
+DAYS = "k int, day date, v string"
+
+
+def days_table(spark, table, keys=("k", "day")):
+    df = spark.createDataFrame([(k, d(n), f"{k}-{n}") for k in (1, 2, 3) for n in (1, 2, 3, 4)], DAYS)
+    ft.update_table(df, table, list(keys), ["day"])
+
+
+def test_a_merge_by_key_writes_only_the_days_it_touches(spark, table):
+    days_table(spark, table)
+    before = {n: files_of(spark, table, d(n)) for n in (1, 2, 3, 4)}
+    ft.update_table(spark.createDataFrame([(2, d(3), "new"), (9, d(5), "more")], DAYS), table, ["k", "day"], ["day"], mode="merge")
+    assert {n: files_of(spark, table, d(n)) == before[n] for n in before} == {1: True, 2: True, 3: False, 4: True}
+    found = rows(spark.table(table))
+    assert (2, d(3), "new") in found and (9, d(5), "more") in found and (1, d(3), "1-3") in found and len(found) == 13
+
+
+def test_a_merge_moves_a_key_to_another_day(spark, table):
+    df = spark.createDataFrame([(1, d(1), "a"), (2, d(2), "b"), (3, d(2), "c")], DAYS)
+    ft.update_table(df, table, ["k"], ["day"])
+    ft.update_table(spark.createDataFrame([(1, d(2), "moved")], DAYS), table, ["k"], ["day"], mode="merge")
+    assert rows(spark.table(table)) == [(1, d(2), "moved"), (2, d(2), "b"), (3, d(2), "c")]
+
+
+def test_a_refresh_that_fails_half_way_leaves_every_day(spark, table, monkeypatch):
+    days_table(spark, table)
+    before = rows(spark.table(table))
+    new = spark.createDataFrame([(1, d(2), "x"), (1, d(3), "x")], DAYS)
+
+    def broken(*args):
+        raise OSError("no metadata")
+
+    with monkeypatch.context() as m:
+        m.setattr(ft, "_point", broken)
+        with pytest.raises(OSError):
+            ft.replace_partitions(new, table)
+    assert rows(spark.table(table)) == before
+    failing = new.withColumn("v", F.when(F.col("day") == F.lit(d(3)), F.raise_error(F.lit("bad row"))).otherwise(F.col("v")))
+    with pytest.raises(Exception, match="bad row"):
+        ft.replace_partitions(failing, table)
+    assert rows(spark.table(table)) == before
+    ft.replace_partitions(new, table)
+    assert [r for r in rows(spark.table(table)) if r[1] in (d(2), d(3))] == [(1, d(2), "x"), (1, d(3), "x")]
+    assert spark.table(table).count() == 8
+
+
+def test_many_refreshes_fold_into_two_data_tables(spark, table, monkeypatch):
+    monkeypatch.setattr(ft, "MOST_PARTS", 3)
+    days_table(spark, table)
+    expected = {(k, n): f"{k}-{n}" for k in (1, 2, 3) for n in (1, 2, 3, 4)}
+    for i in range(7):
+        n = 1 + i % 4
+        ft.replace_partitions(spark.createDataFrame([(1, d(n), f"r{i}")], DAYS), table)
+        expected = {key: v for key, v in expected.items() if key[1] != n} | {(1, n): f"r{i}"}
+        if i == 3:
+            ft.drop_vanished(spark, table, spark.table(table).where(F.col("day") != F.lit(d(4))), "day", d(3))
+            expected = {key: v for key, v in expected.items() if key[1] != 4}
+        assert rows(spark.table(table)) == sorted((k, d(n), v) for (k, n), v in expected.items())
+        assert len(ft.properties(spark, table)["data"].split(",")) <= 3
+
+
+def test_a_day_in_the_view_reads_only_its_files(spark, table):
+    days_table(spark, table)
+    ft.replace_partitions(spark.createDataFrame([(1, d(2), "x")], DAYS), table)
+    one = spark.table(table).where(F.col("day") == F.lit(d(3)))
+    assert "PartitionFilters" in one._jdf.queryExecution().executedPlan().toString()
+    assert one.select(F.input_file_name()).distinct().count() == len(files_of(spark, table, d(3)))
+
+
+def buckets_of(spark, root, version):
+    return {n for n in child_names(spark, f"{root}/_snapshot={version}") if "=" in n}
+
+
+def test_a_merge_of_few_keys_rewrites_few_buckets(spark, tmp_path):
+    root, by = str(tmp_path / "t"), [snapshots.bucket_column(32)]
+    every = [(k, d(1), 1, f"v{k}") for k in range(400)]
+    snapshots.merge_changes(spark.createDataFrame(every, CHANGE), root, 1, ["k"], ["seq"], by)
+    assert len(buckets_of(spark, root, 1)) == 32
+    few = [(3, d(2), 2, "new"), (7, d(2), 0, "late"), (900, d(1), 1, "more")]
+    snapshots.merge_changes(spark.createDataFrame(few, CHANGE), root, 2, ["k"], ["seq"], by)
+    assert 1 <= len(buckets_of(spark, root, 2)) <= 3
+    schema = spark.createDataFrame([], CHANGE).schema
+    found = rows(snapshots.read_snapshot(spark, root, schema, by))
+    assert found == sorted([r for r in every if r[0] != 3] + [few[0], few[2]], key=lambda r: tuple((v is None, str(v)) for v in r))
+
+
+@pytest.mark.parametrize("first, then", [((), (snapshots.bucket_column(8),)), ((snapshots.bucket_column(8),), (snapshots.bucket_column(9),))])
+def test_another_layout_is_refused(spark, tmp_path, first, then):
+    root, df = str(tmp_path / "t"), spark.createDataFrame([(1, d(1), 1, "a")], CHANGE)
+    snapshots.merge_changes(df, root, 1, ["k"], ["seq"], list(first))
+    with pytest.raises(ValueError, match="is partitioned by"):
+        snapshots.merge_changes(df, root, 2, ["k"], ["seq"], list(then))
