@@ -274,14 +274,22 @@ class Scorer:
         return found
 
 
+#: Rows of a block of the machine's matrix.
+BLOCK = 250
+
+
 def _support_vector(x: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float) -> np.ndarray:
     """Linear machine with squared hinge loss, by Newton steps on the rows inside the margin."""
     w = np.zeros(x.shape[1])
     for _ in range(20):
-        inside = y * (x @ w) < 1
-        xs, ys, cs = x[inside], y[inside], cost * weight[inside]
-        hessian = np.eye(x.shape[1]) + xs.T @ (xs * cs[:, None])
-        new = np.linalg.solve(hessian, xs.T @ (cs * ys))
+        # Block by block, so that the rows inside the margin are never copied as a whole.
+        hessian, right = np.eye(x.shape[1]), np.zeros(x.shape[1])
+        for i in range(0, len(x), BLOCK):
+            xs, ys, cs = x[i : i + BLOCK].astype(np.float64), y[i : i + BLOCK], cost * weight[i : i + BLOCK]
+            cs = np.where(ys * (xs @ w) < 1, cs, 0.0)
+            hessian += xs.T @ (xs * cs[:, None])
+            right += xs.T @ (cs * ys)
+        new = np.linalg.solve(hessian, right)
         if np.abs(new - w).max() < 1e-6:
             break
         w = new
@@ -308,9 +316,9 @@ def _learn(toxic: list[str], clean: list[str], landmarks: list[str], cost: float
     keep = eigen > 1e-6
     project = basis.T @ (vectors[:, keep] / np.sqrt(eigen[keep]))
     words = toxic + clean
-    x = np.ones((len(words), project.shape[1] + 1))
-    for i in range(0, len(words), 1000):
-        x[i : i + 1000, :-1] = dense([triples(w) for w in words[i : i + 1000]]) @ project
+    x = np.ones((len(words), project.shape[1] + 1), np.float32)
+    for i in range(0, len(words), BLOCK):
+        x[i : i + BLOCK, :-1] = dense([triples(w) for w in words[i : i + BLOCK]]) @ project
     y = np.concatenate([np.ones(len(toxic)), -np.ones(len(clean))])
     weight = np.where(y > 0, len(words) / (2 * len(toxic)), len(words) / (2 * max(len(clean), 1)))
     w = _support_vector(x, y, weight, cost)
@@ -419,6 +427,8 @@ def fit(rows: pd.DataFrame, landmarks: int = 240, words: int = 6_000, cost: floa
             (inside if label else outside).update(learnable(own))
             counted[int(label > 0)].append(text)
             n1, n0 = n1 + bool(label), n0 + (not label)
+    # The sets of words take more room than all that follows.
+    seen.clear()
     # How unlikely is it that a window as frequent falls so much on the toxic side by chance? The
     # number of windows of its size that are tried is allowed for.
     base = -math.log(n1 / (n1 + n0))
