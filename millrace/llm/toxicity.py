@@ -31,6 +31,7 @@ import zlib
 from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -344,16 +345,16 @@ class Copies:
 
     def __init__(self) -> None:
         self.sets: list[np.ndarray] = []
-        self.bands: dict[tuple, list[int]] = defaultdict(list)
+        self.bands: dict[bytes, list[int]] = defaultdict(list)
 
     def new(self, words: set[str]) -> bool:
         """Whether the words are no copy; they are kept if so. A document without words is none."""
         if not words:
             return True
-        own = np.unique(np.array([zlib.crc32(w.encode()) for w in words], np.uint64))
-        least = mix64(own[:, None] ^ _salts[None, :]).min(axis=0).reshape(-1, BAND)
+        own = np.unique(np.array([zlib.crc32(w.encode()) for w in words], np.uint32))
+        least = mix64(own.astype(np.uint64)[:, None] ^ _salts[None, :]).min(axis=0).reshape(-1, BAND)
         # Bands of least hashes only name candidates: a set this alike lacks all of them once in 5,000 times.
-        keys = [(i, *band) for i, band in enumerate(least.tolist())]
+        keys = [blake2b(bytes([i]) + band.tobytes(), digest_size=8).digest() for i, band in enumerate(least)]
         for i in {i for k in keys for i in self.bands.get(k, ())}:
             both = len(np.intersect1d(own, self.sets[i], assume_unique=True))
             if both >= COPY * (len(own) + len(self.sets[i]) - both):
@@ -485,6 +486,8 @@ def toxicity_machine(docs: DataFrame, labels: DataFrame, toxic: int = 2000, clea
     picked = marked.where(drawn(F.col("id"), "toxicity") < limit)
     texts = docs.select(F.col("doc_id").alias("id"), "text")
     rows = texts.join(F.broadcast(picked), "id").select("id", "text", "toxic").toPandas()
+    # The buffers that the rows came in.
+    pa.default_memory_pool().release_unused()
     return fit(rows.sort_values(["id", "text"], kind="stable").reset_index(drop=True))
 
 
