@@ -26,6 +26,7 @@ get the lowest score.
 from __future__ import annotations
 
 import math
+import pickle
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -478,17 +479,27 @@ def toxicity_machine(docs: DataFrame, labels: DataFrame, toxic: int = 2000, clea
         .groupBy(F.col("doc_id").alias("id")).agg(F.max("toxic").cast("int").alias("toxic"))
     )
     counts = {r["toxic"]: r["count"] for r in marked.groupBy("toxic").count().collect()}
+    nothing = pd.DataFrame({"text": [], "toxic": []})
     if not counts:
-        return fit(pd.DataFrame({"text": [], "toxic": []}))
+        return fit(nothing)
     share = {k: sample_share({k: n}, toxic if k else clean)[k] for k, n in counts.items()}
     limit = F.create_map(*[F.lit(x) for pair in share.items() for x in pair])[F.col("toxic")]
     # A bounded number of ids, so that the documents need no shuffle.
     picked = marked.where(drawn(F.col("id"), "toxicity") < limit)
     texts = docs.select(F.col("doc_id").alias("id"), "text")
-    rows = texts.join(F.broadcast(picked), "id").select("id", "text", "toxic").toPandas()
-    # The buffers that the rows came in.
-    pa.default_memory_pool().release_unused()
-    return fit(rows.sort_values(["id", "text"], kind="stable").reset_index(drop=True))
+    rows = texts.join(F.broadcast(picked), "id").select("id", "text", "toxic")
+
+    def learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sample = pa.Table.from_batches(batches, schema).to_pandas()
+        machine = fit(sample.sort_values(["id", "text"], kind="stable").reset_index(drop=True))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(machine)], pa.binary())], names=["machine"])
+
+    schema = pa.schema([("id", pa.int64()), ("text", pa.string()), ("toxic", pa.int32())])
+    # The sample is bounded: one task learns from it, and is repeated where its executor is lost. The driver gets the weights.
+    rows = rows.select(F.col("id").cast("bigint").alias("id"), F.col("text").cast("string").alias("text"), "toxic")
+    found = rows.repartition(1).mapInArrow(learned, "machine binary").first()
+    # No task runs where no labelled document is there.
+    return pickle.loads(found["machine"]) if found else fit(nothing)
 
 
 def score(docs: DataFrame, machine: Machine, threshold: float = THRESHOLD) -> DataFrame:
