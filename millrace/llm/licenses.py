@@ -2,26 +2,31 @@
 
 Templates are short statements, the standard notices, and full license texts (``license_texts/``). Texts
 and templates are read as words, so line breaks, comment marks and letter case do not matter, and a notice may lie
-anywhere in a text. A place is a candidate where the words of a template are aligned with it: missing, added and
-changed words may make up at most ``MOST`` of the template, and none of the words that tell licenses apart may
-lack. A candidate is compressed alone and with its template as raw zstandard dictionary, and is confirmed if that saves bytes.
-Of candidates that overlap the one with most words of its template counts, then the one with fewest differences, then the
-one that saves most. Every other place is a finding, also of a license that the text has elsewhere.
+anywhere in a text.
 
-Short templates are tried around each occurrence of their rarest telling word; long ones where runs of four words
-that occur once in the template lie on about the same diagonal.
+A block is a stretch of words around a cue: near the rarest telling word of a short template all its telling words, or
+runs of four words that occur once in a long template on about the same diagonal. Stretches that overlap are one block. A
+block is compressed alone and with every template as raw zstandard dictionary, and the templates are ranked by the bytes
+saved. The first in rank whose wording is confirmed in the block is its winner: missing, added and changed words may
+make up at most ``MOST`` of the template, and none of the words that tell licenses apart may lack. Each place of the winner
+is then a block of its own, compressed and ranked again, since a block may hold several notices; the winner there is the
+finding if its template saves bytes on it. What is left of a block on either side is judged in the same way until nothing is confirmed, so every place is a
+finding, also of a license that the text has elsewhere. Equal savings are settled by the fewest differing words, then by name.
 
-Only texts with a cue word are read. NULL and empty texts have none. Every finding is a row; its place is that of its first word.
+Only texts with a cue are read: the longest telling word of some template. NULL and empty texts have none. Every finding is
+a row; its place is that of its first word. Rows that are repeated are judged each; a NULL id stays NULL.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from difflib import SequenceMatcher
 from importlib import resources
+from itertools import groupby
 
 import pyarrow as pa
 import zstandard
@@ -88,14 +93,36 @@ def full_texts() -> list[tuple[str, str, str]]:
 
 
 TEMPLATES = STATEMENTS + NOTICES + full_texts()
-CUES = r"licen[cs]|copyright|rights reserved|redistribut|public domain|\bcc0|\bcc by"
 MOST = 0.25
 #: Templates with more words are looked for by their runs of ``RUN`` words.
 LONG = 64
 RUN = 4
+#: Short blocks whose ranking a task remembers; the same notices come again and again.
+REMEMBERED = 10_000
+LEVEL = 9
+#: Words around a place that are ranked with it.
+PAD = 3
 _word = re.compile(r"[^\W_]+")
 
 
+def cue_pattern(templates: list[tuple[str, str, str]]) -> str:
+    """Matches every text that holds all telling words of a template, by the longest of them."""
+    longest = {max(sorted(tells.split()), key=lambda w: (len(w), w)) for _, _, tells in templates}
+    return r"(?iu)(?<![\p{L}\p{N}])(?:" + "|".join(sorted(longest)) + r")(?![\p{L}\p{N}])"
+
+
+def _places_of(words: list[str]) -> dict[str, list[int]]:
+    known: dict[str, list[int]] = defaultdict(list)
+    for i, w in enumerate(words):
+        known[w].append(i)
+    return known
+
+
+def _any_between(places: list[int], first: int, last: int) -> bool:
+    i = bisect_left(places, first)
+    return i < len(places) and places[i] <= last
+
+
 @dataclass
 class Kind:
     """A template; its words are the dictionary."""
@@ -135,13 +162,15 @@ class Kind:
 
 class Scanner:
     def __init__(self, templates: list[tuple[str, str, str]]):
-        self.plain = zstandard.ZstdCompressor(level=9)
+        self.plain = zstandard.ZstdCompressor(level=LEVEL)
         self.kinds = []
         self.runs: dict[tuple[str, ...], list[tuple[int, int]]] = defaultdict(list)
+        self.ranked: dict[str, list[tuple[int, int]]] = {}
         for name, text, tells in templates:
             words = _word.findall(text.lower())
             given = zstandard.ZstdCompressionDict(" ".join(words).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            self.kinds.append(Kind(name, words, set(tells.split()), zstandard.ZstdCompressor(level=9, dict_data=given)))
+            given.precompute_compress(level=LEVEL)
+            self.kinds.append(Kind(name, words, set(tells.split()), zstandard.ZstdCompressor(level=LEVEL, dict_data=given)))
             if len(words) > LONG:
                 runs = [tuple(words[i : i + RUN]) for i in range(len(words) - RUN + 1)]
                 often = Counter(runs)
@@ -149,31 +178,91 @@ class Scanner:
                     if often[run] == 1:
                         self.runs[run].append((len(self.kinds) - 1, i))
 
+    def rank(self, block: list[str]) -> list[tuple[int, int]]:
+        """(bytes saved, template) of all templates on a block, most first."""
+        text = " ".join(block)
+        ranked = self.ranked.get(text)
+        if ranked is None:
+            data = text.encode()
+            alone = len(self.plain.compress(data))
+            saved = [(alone - len(kind.compressor.compress(data)), i) for i, kind in enumerate(self.kinds)]
+            ranked = sorted(saved, key=lambda s: (-s[0], s[1]))
+            if len(text) <= 1_000:
+                if len(self.ranked) >= REMEMBERED:
+                    self.ranked.clear()
+                self.ranked[text] = ranked
+        return ranked
+
     def findings(self, text: str) -> Iterator[tuple[int, str, int, int]]:
         """(place of the first word, license, bytes saved, differing words), by place."""
         spots = [m.start() for m in _word.finditer(text)]
         words = [w.lower() for w in _word.findall(text)]
-        known: dict[str, list[int]] = defaultdict(list)
-        for i, w in enumerate(words):
-            known[w].append(i)
         found = []
-        clusters = self._clusters(words)
-        for i, kind in enumerate(self.kinds):
-            if kind.tells <= known.keys():
-                places = self._long(kind, words, clusters[i]) if len(kind.words) > LONG else self._short(kind, words, known)
-                for start, end, common, differ in self._apart(places):
-                    data = " ".join(words[start:end]).encode()
-                    saved = len(self.plain.compress(data)) - len(kind.compressor.compress(data))
+        left = self.blocks(words)
+        while left:
+            first, last = left.pop()
+            taken = sorted(self._judged(words, first, last))
+            found += taken
+            if taken:
+                cuts = [first, *(c for f in taken for c in f[:2]), last]
+                left += [(a, b) for a, b in zip(cuts[::2], cuts[1::2]) if a < b]
+        for start, _, saved, differ, i in sorted(found):
+            yield spots[start], self.kinds[i].name, saved, differ
+
+    def blocks(self, words: list[str]) -> list[tuple[int, int]]:
+        """Stretches of words (first, end) around cues; those that overlap are one."""
+        known = _places_of(words)
+        found = [c for i, own in self._clusters(words).items() if self.kinds[i].tells <= known.keys() for c in own]
+        for kind in self.kinds:
+            if len(kind.words) <= LONG and kind.tells <= known.keys():
+                reach = len(kind.words) + kind.slack
+                for p in min((known[t] for t in sorted(kind.tells)), key=len):
+                    if all(_any_between(known[t], p - reach, p + reach) for t in kind.tells):
+                        found.append((max(0, p - reach), min(len(words), p + reach + 1)))
+        merged: list[tuple[int, int]] = []
+        for a, b in sorted(found):
+            if merged and a < merged[-1][1]:
+                merged[-1] = (merged[-1][0], max(b, merged[-1][1]))
+            else:
+                merged.append((a, b))
+        return merged
+
+    def _judged(self, words: list[str], first: int, last: int) -> list[tuple[int, int, int, int, int]]:
+        """(first word, end, bytes saved, differing words, template) of the places of a block's winner, each ranked by itself."""
+        for _, places in self._confirmed(words, first, last):
+            found: list[tuple[int, int, int, int, int]] = []
+            for start, end, _, _ in sorted(places):
+                # A little more than the place, since the words at its ends may tell another template; never what is found already.
+                low = max(first, start - PAD, found[-1][1] if found else first)
+                for i, own in self._confirmed(words, low, min(last, end + PAD)):
+                    start, end, _, differ = own[0]
+                    saved = {k: s for s, k in self.rank(words[start:end])}[i]
                     if saved > 0:
-                        found.append((start, end, common, differ, saved, kind.name))
-        found.sort(key=lambda f: (-f[2], f[3], -f[4], f[5], f[0]))
-        used = bytearray(len(words))
-        kept = []
-        for start, end, _, differ, saved, name in found:
-            if not any(used[start:end]):
-                used[start:end] = b"\1" * (end - start)
-                kept.append((spots[start], name, saved, differ))
-        yield from sorted(kept)
+                        found.append((start, end, saved, differ, i))
+                        break
+            if found:
+                return found
+        return []
+
+    def _confirmed(self, words: list[str], first: int, last: int) -> Iterator[tuple[int, list[tuple[int, int, int, int]]]]:
+        """By rank the templates whose wording a block holds, and their places there, best first."""
+        block = words[first:last]
+        known = _places_of(block)
+        clusters = None
+        for _, equal in groupby(self.rank(block), key=lambda r: r[0]):
+            confirmed = []
+            for _, i in equal:
+                kind = self.kinds[i]
+                if kind.tells <= known.keys():
+                    if len(kind.words) > LONG:
+                        clusters = self._clusters(block) if clusters is None else clusters
+                        places = self._apart(self._long(kind, block, clusters.get(i, [])))
+                    else:
+                        places = self._apart(self._short(kind, block, known))
+                    if places:
+                        confirmed.append((places[0][3], kind.name, i, [(first + a, first + b, *rest) for a, b, *rest in places]))
+            for _, _, i, places in sorted(confirmed):
+                yield i, places
 
     @staticmethod
     def _apart(places: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
@@ -251,6 +340,6 @@ def license_findings(docs: DataFrame, templates: list[tuple[str, str, str]] = TE
                 yield batch_of(dict(zip(schema.names, zip(*out))), schema)
 
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.where(F.col("text").rlike("(?i)" + CUES)).mapInArrow(
+    return texts.where(F.col("text").rlike(cue_pattern(templates))).mapInArrow(
         scan, "doc_id bigint, place bigint, license string, bytes_saved int, differences int"
     )

@@ -389,6 +389,53 @@ def test_full_license_texts():
         assert [f[1] for f in scanner.findings("a b c " + text + " d e f")] == [name]
 
 
+def test_every_template_is_found_whole_and_wrapped(spark):
+    pairs, want = [], []
+    for k, (name, text, _) in enumerate(licenses.TEMPLATES):
+        words = text.split()
+        pairs += [(2 * k, text), (2 * k + 1, "\n# ".join(words))]
+        want += [(2 * k, name), (2 * k + 1, name)]
+    got = licenses.license_findings(docs(spark, pairs)).collect()
+    assert sorted((r.doc_id, r.license) for r in got) == want
+    assert all(r.differences == 0 and r.bytes_saved > 0 for r in got)
+
+
+def test_license_cues_and_rows(spark):
+    pairs = [(1, "All rights\n# reserved."), (None, "Released under the MIT License."), (2, "RELEASED UNDER THE MIT LICENSE."),
+             (2, "Released under the MIT License."), (3, None), (4, ""), (5, "all general rights, mit and bsd")]
+    got = collections.Counter((r.doc_id, r.license) for r in licenses.license_findings(docs(spark, pairs)).collect())
+    assert got == {(1, "ARR"): 1, (None, "MIT"): 1, (2, "MIT"): 2}
+
+
+def test_license_notices_side_by_side():
+    # Places known by making: any notices in any order, with and without words between, are each found where they begin.
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    short = licenses.STATEMENTS + licenses.NOTICES
+    draw = np.random.default_rng(5)
+    for between in (0, 1, 40):
+        for _ in range(40):
+            text, want = "", []
+            for k in draw.integers(0, len(short), 4):
+                text += "tree " * between
+                want.append((len(text) + (short[k][1][0] == '"'), short[k][0]))
+                text += short[k][1] + "\n"
+            found = [(f[0], f[1]) for f in scanner.findings(text)]
+            assert found == want, (between, found, want)
+
+
+def test_compression_ranks_templates():
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    plain = licenses.zstandard.ZstdCompressor(level=licenses.LEVEL)
+    for name, text, _ in licenses.TEMPLATES:
+        block = re.findall(r"[^\W_]+", text.lower())
+        ranked = scanner.rank(block)
+        data = " ".join(block).encode()
+        assert len(ranked) == len(licenses.TEMPLATES)
+        assert [s for s, _ in ranked] == sorted((s for s, _ in ranked), reverse=True)
+        assert ranked[0][0] < len(plain.compress(data))
+        assert name in {scanner.kinds[i].name for s, i in ranked if s >= ranked[0][0] - 8}
+
+
 def test_awkward_rows_for_trained_operators(spark):
     found = {r.doc_id: r for r in language.language_id(docs(spark, AWKWARD)).collect()}
     assert found[1].lang_pred == found[2].lang_pred == found[3].lang_pred == "und" and found[6].lang_pred == "en"
