@@ -240,6 +240,54 @@ scored AS (
   SELECT *, CASE WHEN 2 * tp + fp + fn > 0 THEN 2.0 * tp / (2.0 * tp + fp + fn) ELSE 0.0 END::DOUBLE AS f1 FROM conf)
 """
 
+ORDER_LEVELS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+EVENT_LEVELS = ["click", "error", "purchase", "signup", "view"]
+COMPLETE = "feature1 IS NOT NULL AND feature2 IS NOT NULL AND feature3 IS NOT NULL"
+
+
+def _logistic(rows: str, levels: list[str], steps: int = 30) -> str:
+    """Tables x (rows to fit on) and best (weights w): Newton steps on 0.5 |w|^2 + sum of log losses.
+
+    The intercept comes first and is not penalised. Each step sums gradient and Hessian over the rows
+    as a matrix with one column more, and Gauss-Jordan elimination solves it. Levels without rows
+    have a zero gradient and keep the weight 0.
+    """
+    inputs = ["1.0", *[f"coalesce(feature4 = '{v}', false)::INTEGER" for v in levels], "feature1", "feature2", "feature3"]
+    n = len(inputs)
+    matrix = ", ".join(
+        "["
+        + ", ".join(f"sum(p * (1 - p) * v[{i}] * v[{j}]){' + 1' if i == j > 1 else ''}" for j in range(1, n + 1))
+        + f", sum((p - target) * v[{i}]){f' + any_value(w[{i}])' if i > 1 else ''}]"
+        for i in range(1, n + 1)
+    )
+    return f"""
+x AS MATERIALIZED (
+  SELECT target, CAST([{", ".join(inputs)}] AS DOUBLE[]) AS v FROM {rows} WHERE {COMPLETE} AND target IS NOT NULL),
+fit(step, w) AS (
+  SELECT 0, CAST([{", ".join(["0"] * n)}] AS DOUBLE[])
+  UNION ALL
+  SELECT step + 1, list_transform(w, lambda b, i: b - solved[i][{n + 1}])
+  FROM (
+    -- The first element is the matrix itself; the reduction's index i runs from 2 on.
+    SELECT step, w, list_reduce(list_resize([m], {n + 1}, m), lambda a, same, i: list_transform(a, lambda r, k:
+             CASE WHEN k = i - 1 THEN list_transform(r, lambda e: e / r[i - 1])
+                  ELSE list_transform(r, lambda e, c: e - r[i - 1] * a[i - 1][c] / a[i - 1][i - 1]) END)) AS solved
+    FROM (
+      SELECT step, any_value(w) AS w, [{matrix}] AS m
+      FROM (SELECT step, w, v, target, 1 / (1 + exp(-list_dot_product(v, w))) AS p FROM fit, x WHERE step < {steps})
+      GROUP BY step))),
+best AS (SELECT w FROM fit WHERE step = {steps})
+"""
+
+
+def _scores(rows: str, levels: list[str], day: str) -> str:
+    inputs = ["1.0", *[f"coalesce(feature4 = '{v}', false)::INTEGER" for v in levels], "feature1", "feature2", "feature3"]
+    return f"""
+SELECT customer_number, CASE WHEN {COMPLETE} THEN CAST(probability > 0.5 AS INTEGER) END AS prediction,
+       CASE WHEN {COMPLETE} THEN probability END AS probability, DATE '{day}' AS prediction_date
+FROM (SELECT f.*, 1 / (1 + exp(-list_dot_product(CAST([{", ".join(inputs)}] AS DOUBLE[]), w))) AS probability FROM {rows} f, best)"""
+
+
 
 def _unit(k: int) -> str:
     block, part = divmod(k, 4)
@@ -422,6 +470,21 @@ WITH {EVENTS}
 SELECT event_id, feature4, CAST(feature4 = 'click' AS INTEGER) AS is_click,
        CAST(feature4 = 'purchase' AS INTEGER) AS is_purchase, CAST(feature4 = 'signup' AS INTEGER) AS is_signup,
        CAST(feature4 = 'view' AS INTEGER) AS is_view, 4 AS slots FROM ev""",
+    "train_logistic": f"WITH RECURSIVE {ORDERS}, recent AS (SELECT * FROM od WHERE date >= DATE '1999-08-02'), f AS ("
+    + _features("recent", "order_key", target=True) + "), " + _logistic("f", ORDER_LEVELS) + f"""
+SELECT unnest(['intercept', {", ".join(f"'feature4={v}'" for v in ORDER_LEVELS)}, 'feature1', 'feature2', 'feature3']) AS feature,
+       unnest(list_transform(w, lambda b, i: CASE WHEN i IN (7, 9) THEN round(b, 10) ELSE round(b, 4) END)) AS weight
+FROM best""",
+    "predict_batch": f"WITH RECURSIVE {ORDERS}, recent AS (SELECT * FROM od WHERE date >= DATE '1999-08-02'), f AS ("
+    + _features("recent", "order_key", target=True) + "), " + _logistic("f", ORDER_LEVELS)
+    + "SELECT * REPLACE (round(probability, 3) AS probability) FROM (" + _scores("f", ORDER_LEVELS, "2001-08-01") + ")",
+    "score_and_evaluate": f"WITH RECURSIVE {RAW_CHECKED}, od AS ("
+    + _newest("ok", "date, customer_number", "event_id") + "), f AS (" + _features("od", "event_id", target=True) + "), "
+    + _logistic("f", EVENT_LEVELS) + ", pr AS (SELECT customer_number, prediction, prediction_date AS date FROM ("
+    + _scores("f", EVENT_LEVELS, "2024-01-29") + ")), "
+    + _confusion("date, customer_number", "WHERE t.date BETWEEN DATE '2023-12-30' AND DATE '2024-01-30'") + """
+SELECT CASE WHEN tp + fp + fn + tn > 0 THEN f1 END AS f1, tp + fp + fn + tn > 0 AND f1 < 0.6 AS retrain,
+       CASE WHEN tp + fp + fn + tn > 0 AND f1 < 0.6 THEN 2 END AS version FROM scored""",
     "registry_roundtrip": f"""
 WITH {ORDERS}
 SELECT v.version, v.stage, n.scored
