@@ -428,19 +428,19 @@ TIGHT = {"tol": 1e-13, "max_iter": 1000}
 
 
 def train_logistic(spark: SparkSession, sf: str) -> DataFrame:
-    """Weights at the minimum, in 4 digits; prices weigh little and have 10."""
+    """Weights at the minimum, in 3 digits; prices weigh little and have 10."""
     model, _ = logistic.fit(_order_features(spark, sf), TIGHT)
     weights = spark.createDataFrame(logistic.coefficients(model), "feature string, weight double")
     small = F.col("feature").isin("feature1", "feature3")
-    return weights.withColumn("weight", F.when(small, F.round("weight", 10)).otherwise(F.round("weight", 4)))
+    return weights.withColumn("weight", F.when(small, F.round("weight", 10)).otherwise(F.round("weight", 3)))
 
 
 def predict_batch(spark: SparkSession, sf: str) -> DataFrame:
-    """A prediction for every customer; probabilities in 3 digits."""
+    """A prediction for every customer; probabilities in 2 digits."""
     rows = _order_features(spark, sf)
     model, _ = logistic.fit(rows, TIGHT)
     scored = logistic.predict(model, rows, views.ORDERS_AS_OF)
-    return scored.withColumn("probability", F.round("probability", 3))
+    return scored.withColumn("probability", F.round("probability", 2))
 
 
 def registry_roundtrip(spark: SparkSession, sf: str) -> DataFrame:

@@ -473,11 +473,11 @@ SELECT event_id, feature4, CAST(feature4 = 'click' AS INTEGER) AS is_click,
     "train_logistic": f"WITH RECURSIVE {ORDERS}, recent AS (SELECT * FROM od WHERE date >= DATE '1999-08-02'), f AS ("
     + _features("recent", "order_key", target=True) + "), " + _logistic("f", ORDER_LEVELS) + f"""
 SELECT unnest(['intercept', {", ".join(f"'feature4={v}'" for v in ORDER_LEVELS)}, 'feature1', 'feature2', 'feature3']) AS feature,
-       unnest(list_transform(w, lambda b, i: CASE WHEN i IN (7, 9) THEN round(b, 10) ELSE round(b, 4) END)) AS weight
+       unnest(list_transform(w, lambda b, i: CASE WHEN i IN (7, 9) THEN round(b, 10) ELSE round(b, 3) END)) AS weight
 FROM best""",
     "predict_batch": f"WITH RECURSIVE {ORDERS}, recent AS (SELECT * FROM od WHERE date >= DATE '1999-08-02'), f AS ("
     + _features("recent", "order_key", target=True) + "), " + _logistic("f", ORDER_LEVELS)
-    + "SELECT * REPLACE (round(probability, 3) AS probability) FROM (" + _scores("f", ORDER_LEVELS, "2001-08-01") + ")",
+    + "SELECT * REPLACE (round(probability, 2) AS probability) FROM (" + _scores("f", ORDER_LEVELS, "2001-08-01") + ")",
     "score_and_evaluate": f"WITH RECURSIVE {RAW_CHECKED}, od AS ("
     + _newest("ok", "date, customer_number", "event_id") + "), f AS (" + _features("od", "event_id", target=True) + "), "
     + _logistic("f", EVENT_LEVELS) + ", pr AS (SELECT customer_number, prediction, prediction_date AS date FROM ("
