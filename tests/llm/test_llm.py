@@ -1,6 +1,7 @@
 """Operators for training data against plain Python, with awkward rows."""
 
 import collections
+import functools
 import gzip
 import hashlib
 import os
@@ -10,6 +11,7 @@ import zlib
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -271,7 +273,84 @@ def test_url_filters(spark):
     }
     assert (got[1].host, got[1].path) == ("a.b.example.org", "/es/1") and (got[3].host, got[3].path) == ("", "")
     assert (got[5].host, got[5].path) == ("c.net", "") and got[6].verdict == "block" and got[2].verdict == "allow"
-    assert urls.Splitter({"shop": 50, "words": 50, "sho": 1}).split("shopwords") == ["shop", "words"]
+    assert urls.split("shopwords", {"shop": 50, "words": 50, "sho": 1}, 102) == ["shop", "words"]
+
+
+def plain_split(name, counts):
+    """The cheapest of all ways to cut a name, every part tried at every place."""
+    total = sum(counts.values()) + 1
+
+    def price(part):
+        return urls.cost(counts[part], total) if part in counts else urls.cost(1, total) + urls.LETTER * len(part)
+
+    best = [(0, [])]
+    for end in range(1, len(name) + 1):
+        least, start = min((best[k][0] + price(name[k:end]), k) for k in range(end))
+        best.append((least, best[start][1] + [name[start:end]]))
+    return best[-1][1]
+
+
+def plain_judged(rows):
+    """(host words, log odds of block) of each page (page_id, url, html, verdict by rules)."""
+    titles = collections.Counter()
+    for _, _, html, _ in rows:
+        title = re.search(r"(?is)<title[^>]*>([^<]*)", html or "")
+        titles.update(re.findall(r"[^\W\d_]+", title[1].lower()) if title else [])
+    tokens, seen, docs = [], collections.defaultdict(collections.Counter), collections.Counter()
+    cut = functools.cache(lambda name: plain_split(name, titles))
+    for _, url, _, verdict in rows:
+        found = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", url or "")
+        host, path = (found[1].lower(), found[2].lower()) if found else ("", "")
+        tokens.append([
+            (side, w) for side, text in (("h", host), ("p", path)) for run in re.findall(r"[^\W\d_]+|\d+", text)
+            for w in ([f"#{len(run)}"] if run.isdigit() else cut(run))
+        ])
+        if verdict:
+            seen[verdict].update(tokens[-1])
+            docs[verdict] += 1
+    kinds = len({t for c in seen.values() for t in c}) + 1
+
+    def share(kind, token):
+        return np.log((seen[kind][token] + 1) / (sum(seen[kind].values()) + kinds))
+
+    prior = np.log((docs["block"] + 1) / (docs["allow"] + 1))
+    return [([w for side, w in t if side == "h"], prior + sum(share("block", x) - share("allow", x) for x in t)) for t in tokens]
+
+
+def compare_judged(rows):
+    """Rows of ``urls.judged`` beside the plain reckoning."""
+    for r, (words, odds) in zip(rows, plain_judged([(r.page_id, r.url, r.html, r.verdict if r.rule else None) for r in rows])):
+        assert r.host_words == words and abs(r.block_odds - odds) < 1e-6, r
+        assert r.rule or abs(odds) < 1e-6 or r.verdict == ("block" if odds > 0 else "allow")
+
+
+def test_url_words_and_odds(spark):
+    long = "verylong" * 60
+    names = ["newsshop", "shopnews", "thebigshop", "xqzt", "bigbignews", long, "straßenews", "Éclair", "a", "shop24news", "antidisestablishmentarianisms"]
+    ends = ["org", "net", "com", "example.org"]
+    rows = [
+        (i, f"http://{names[i % 11]}.{names[i % 7]}.{ends[i % 4]}/{['es', 'fr', 'de', 'en'][i % 3]}/{names[i % 5]}-{i}?q=1#f",
+         f"<title>The big {['shop', 'news', 'antidisestablishmentarianisms', 'verylong'][i % 4]} a Straße</title>", "h", "f")
+        for i in range(300)
+    ]
+    # One url holds a third of all rows; others are NULL, empty or without a host.
+    rows += [(i % 3, "https://www.newsshop.net/x", None, "h", "f") for i in range(200)] + [(None, None, None, "h", "f"), (7, "", "", "h", "f"), (8, "none", "", "h", "f")]
+    table = spark.createDataFrame(rows, PAGE)
+    by_page = {(r.page_id, r.host, r.path): r for r in urls.judged(table).collect()}
+    got = urls.judged(table.repartition(5)).collect()
+    assert sorted(map(str, got)) == sorted(map(str, urls.judged(table).collect())) and len(got) == len(rows)
+    places = urls.by_rules(table.select("page_id", "url", "html", urls.host_of(table.url).alias("host"), urls.path_of(table.url).alias("path")))
+    joined = [Row(**{**r.asDict(), **by_page[r.page_id, r.host, r.path].asDict()}) for r in places.collect()]
+    compare_judged(joined)
+    assert {tuple(r.host_words) for r in joined if r.host == "newsshop.shopnews.org"} <= {("news", "shop", "shop", "news", "org")}
+    assert any("antidisestablishmentarianisms" in r.host_words for r in joined)
+
+
+@needs_tables
+def test_url_words_and_odds_of_a_table(spark):
+    table = spark.read.parquet(f"{TABLES}/pages.parquet")
+    html = {r.page_id: (r.url, r.html) for r in table.collect()}
+    compare_judged([Row(**r.asDict(), url=html[r.page_id][0], html=html[r.page_id][1]) for r in urls.judged(table).collect()])
 
 
 def test_archives(spark):
