@@ -300,7 +300,7 @@ def plain_judged(rows):
     cut = functools.cache(lambda name: plain_split(name, titles))
     for _, url, _, verdict in rows:
         found = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", url or "")
-        host, path = (found[1].lower(), found[2].lower()) if found else ("", "")
+        host, path = (re.sub("[A-Z]", lambda c: c[0].lower(), found[1]), found[2].lower()) if found else ("", "")
         tokens.append([
             (side, w) for side, text in (("h", host), ("p", path)) for run in re.findall(r"[^\W\d_]+|\d+", text)
             for w in ([f"#{len(run)}"] if run.isdigit() else cut(run))
@@ -325,6 +325,7 @@ def compare_judged(rows):
 
 
 def test_url_words_and_odds(spark):
+    assert urls.judged(spark.createDataFrame([], PAGE)).collect() == []
     long = "verylong" * 60
     names = ["newsshop", "shopnews", "thebigshop", "xqzt", "bigbignews", long, "straßenews", "Éclair", "a", "shop24news", "antidisestablishmentarianisms"]
     ends = ["org", "net", "com", "example.org"]
