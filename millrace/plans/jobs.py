@@ -64,7 +64,8 @@ def run_medallion(
     ``prepare`` maps a source with other column names onto those of the schema and has to keep
     ``ARRIVAL``. Files may differ in schema. Of the rows of a key that tie in ``settings.order`` the
     one that arrived last is kept. The counts are of all rows landed since the last finished run; a
-    run without new files counts zero.
+    run without new files counts zero. A micro-batch takes ``files_per_batch`` files, or else
+    ``settings.bytes_per_batch``.
     """
     arrived = T.StructType([T.StructField("time", T.TimestampType()), T.StructField("file", T.StringType()), T.StructField("row", T.LongType())])
     stored = T.StructType([*schema.fields, T.StructField(ARRIVAL, arrived)])
@@ -79,7 +80,7 @@ def run_medallion(
     before = flows.last_batch(spark, finished)
     flows.land_files(
         spark, settings.raw, settings.bronze, f"{settings.checkpoints}/bronze", shape, settings.rules, counts,
-        files_per_batch,
+        files_per_batch, settings.bytes_per_batch,
     )
     found = flows.stored_counts(spark, counts, settings.rules, before).collect()
     by_rule = {r["rule"]: {"passed": r["passed"], "failed": r["failed"]} for r in found}
@@ -88,7 +89,9 @@ def run_medallion(
     if newest < 0:
         return result
     landed = T.StructType([*_snapshot_schema(stored).fields, T.StructField(RESCUED, T.StringType())])
-    bronze = scan.stream(spark, f"{settings.bronze}/{flows.BATCH}*", landed, files_per_batch=files_per_batch)
+    bronze = scan.stream(
+        spark, f"{settings.bronze}/{flows.BATCH}*", landed, files_per_batch=files_per_batch, bytes_per_batch=settings.bytes_per_batch
+    )
     flows.upsert_snapshot(
         quality.expect_or_drop(bronze, settings.rules),
         settings.silver,

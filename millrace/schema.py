@@ -81,6 +81,8 @@ class Settings:
     keep_versions: int = 2
     # Folders that silver is dealt into by its keys where these hold no date; stays as it is for the life of the table.
     key_buckets: int = 64
+    # Size of the files of one micro-batch, so that a first run over a long history is many of them.
+    bytes_per_batch: int = 1 << 40
     raw_path: str | None = None
     # Decimals feature3 is known to hold; its sums are then exact whatever the row order.
     sum_digits: int | None = None

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamReader
 
 from millrace.schema import ARRIVAL, DATE
 
@@ -39,24 +40,30 @@ def stream(
     schema: T.StructType | None = None,
     fmt: str = "parquet",
     files_per_batch: int | None = None,
+    bytes_per_batch: int | None = None,
 ) -> DataFrame:
     """Unbounded scan: each run picks up the files its checkpoint has not seen.
 
-    ``files_per_batch`` bounds one micro-batch; without it a first run over a long
-    history is a single batch.
+    ``files_per_batch``, or else ``bytes_per_batch``, bounds one micro-batch, which takes one file
+    at least; without either a first run over a long history is a single batch.
     """
     reader = spark.readStream.format(fmt).schema(schema or infer_schema(spark, path, fmt))
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.load(path)
+    return _bounded(reader, files_per_batch, bytes_per_batch).load(path)
 
 
-def new_files(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """Stream of the paths of files the checkpoint has not seen; it reads no file."""
+def _bounded(reader: DataStreamReader, files: int | None, size: int | None) -> DataStreamReader:
+    # The source takes one of the two bounds.
+    if files:
+        return reader.option("maxFilesPerTrigger", files)
+    return reader.option("maxBytesPerTrigger", size) if size else reader
+
+
+def new_files(
+    spark: SparkSession, path: str, files_per_batch: int | None = None, bytes_per_batch: int | None = None
+) -> DataFrame:
+    """Stream of the paths of files the checkpoint has not seen; it reads no file. Bounds as in ``stream``."""
     reader = spark.readStream.format("binaryFile").schema(LISTING)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.load(path).select("path")
+    return _bounded(reader, files_per_batch, bytes_per_batch).load(path).select("path")
 
 
 def _shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

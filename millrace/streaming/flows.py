@@ -51,6 +51,7 @@ def land_files(
     rules: dict[str, str],
     counts: str,
     files_per_batch: int | None = None,
+    bytes_per_batch: int | None = None,
 ) -> None:
     """Write new parquet files, whatever the schema of each, to a folder per micro-batch.
 
@@ -68,7 +69,7 @@ def land_files(
         found = observed_counts(batch.sparkSession, counted, rules)
         found.coalesce(1).write.mode("overwrite").parquet(batch_folder(counts, batch_id))
 
-    files = scan.new_files(spark, path, files_per_batch)
+    files = scan.new_files(spark, path, files_per_batch, bytes_per_batch)
     _run(files.writeStream.foreachBatch(land), checkpoint, target, f"{BATCH}*")
 
 

@@ -47,6 +47,19 @@ def test_files_are_ingested_once_across_restarts(spark, tmp_path, history):
     assert rows(spark.read.parquet(bronze)) == rows(spark.createDataFrame(history, SCHEMA))
 
 
+@pytest.mark.parametrize("size, batches", [(1, 4), (1 << 40, 1)])
+def test_micro_batches_are_bounded_by_bytes(spark, tmp_path, history, size, batches):
+    raw, bronze, mark, counts = (str(tmp_path / n) for n in ("raw", "bronze", "mark", "counts"))
+    arrive(spark, history, raw, 4)
+    flows.land_files(spark, raw, bronze, mark, lambda df: df, ACTIVITY_RULES, counts, bytes_per_batch=size)
+    assert flows.last_batch(spark, bronze) == batches - 1
+    assert rows(spark.read.parquet(f"{bronze}/{flows.BATCH}*").select(*history_columns())) == rows(spark.createDataFrame(history, SCHEMA).select(*history_columns()))
+
+
+def history_columns():
+    return [c.split()[0] for c in SCHEMA.split(", ")]
+
+
 def test_stream_and_batch_give_the_same_checked_rows_and_counts(spark, tmp_path, history):
     raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
     arrive(spark, history, raw, 4)
