@@ -2,11 +2,13 @@ import itertools
 import math
 import random
 from datetime import date
+from fractions import Fraction
 
 import pytest
 
 from pyspark.sql import functions as F
 
+import __spark_entry__ as contract
 from conftest import rows
 from millrace.functions.significance import chi_square_pvalue
 from millrace.operators import drift
@@ -98,6 +100,33 @@ def test_small_pvalues_equal_path_counts(spark):
         assert r["p"] == pytest.approx(brute(r["n1"], r["n2"], r["gap"]), abs=1e-12)
 
 
+def test_exact_pvalue_with_far_rims_let_go(spark):
+    from pyspark.sql import functions as F
+
+    from millrace.functions.significance import ks_pvalue
+
+    # Two samples of n: 2 * sum (-1)^(j+1) C(2n, n+jc) / C(2n, n), c the gap over n.
+    def plain(n, c):
+        of_all = math.comb(2 * n, n)
+        return 2 * float(sum((-1) ** (j + 1) * Fraction(math.comb(2 * n, n + j * c), of_all) for j in range(1, n // c + 1)))
+
+    cases = [(n, c) for n in (40, 3000) for c in (n // 40, n // 10, n // 3, n // 2)]
+    df = spark.createDataFrame([(n, n, c * n) for n, c in cases], "n1 bigint, n2 bigint, gap bigint")
+    got = df.withColumn("p", ks_pvalue(F.col("n1"), F.col("n2"), F.col("gap"), "exact")).collect()
+    assert [r["p"] for r in got] == pytest.approx([plain(n, c) for n, c in cases], rel=1e-9, abs=1e-280)
+
+
+def test_drift_ks_orders_takes_the_exact_pvalue(spark, tmp_path):
+    days = [date(2001, 7, 20)] * 3 + [date(2001, 7, 27)] * 3
+    orders = [(30 * i + 1, i, 100.0 + i, "1-URGENT", day, "F") for i, day in enumerate(days)]
+    spark.createDataFrame(
+        orders, "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderpriority string, o_orderdate date, o_orderstatus string"
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    got = {r["feature"]: r["p_value"] for r in contract.queries()["drift_ks_orders"](spark, str(tmp_path)).collect()}
+    # 2 of the 20 orders of 3 and 3 values are apart.
+    assert got == {"feature1": 0.1, "feature2": 1.0, "feature3": 0.1}
+
+
 def test_large_sample_pvalue_is_close_to_the_exact_one(spark):
     from pyspark.sql import functions as F
 
