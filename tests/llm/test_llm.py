@@ -427,6 +427,29 @@ def test_neighbours_over_many_ranges(spark, monkeypatch, blocks):
     assert hits == 60 * 20 if blocks else hits >= 0.9 * 60 * 20
 
 
+def test_ascended_takes_the_longest_prefixes():
+    rng = np.random.default_rng(6)
+    hashes = np.sort(np.concatenate([rng.integers(0, 1 << 63, 200, dtype=np.uint64) * np.uint64(2), np.full(30, 12345, np.uint64)]))
+    for asked in [*rng.integers(0, 1 << 63, 20, dtype=np.uint64), np.uint64(12345), np.uint64(0), np.uint64((1 << 64) - 1)]:
+        bits = np.sort(neighbours._prefix_bits(hashes, asked))[::-1]
+        for most in (1, 7, 40, 229, 230, 500):
+            (a,), (b,) = neighbours.ascended(hashes, np.array([asked]), most)
+            assert b - a == min(most, 230)
+            assert sorted(neighbours._prefix_bits(hashes[a:b], asked), reverse=True) == bits[:most].tolist()
+
+
+def test_sizes_do_not_choose_the_way_of_neighbours(spark, monkeypatch):
+    # On vectors without structure the forest's trees give more rows than there are; it is taken all the same.
+    monkeypatch.setattr(neighbours, "depth", lambda *_: 60)
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((400, 32)).astype(np.float32)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<float>")
+    plain = {(r.query_id, r.vec_id) for r in neighbours.neighbours(rows, trees=8, blocks=True).collect()}
+    few = {(r.query_id, r.vec_id) for r in neighbours.neighbours(rows, trees=8).collect()}
+    # 8 trees of 60 rows give more than the 400 rows in all, but miss some neighbours.
+    assert len(few) == len(plain) == 20 * 20 and few != plain
+
+
 def test_licenses(spark):
     pairs = [
         (1, "x\nReleased under the MIT License.\ny"), (2, "This work is licensed under the GNU General Public License version 3"),
