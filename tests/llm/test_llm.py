@@ -10,6 +10,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
@@ -254,6 +255,53 @@ def test_prefix_hashes():
     assert fingerprint.common_extension(p, 0, p, 12) == 10
 
 
+def test_modulo_without_dividing():
+    rng = np.random.default_rng(9)
+    for p in fingerprint.PRIMES:
+        edge = np.array([0, 1, p - 1, p, p + 1, 2 * p, (1 << 31) - 1, 1 << 31, (1 << 63) - 1, (p - 1) * (p - 1)], np.uint64)
+        x = np.concatenate([edge, rng.integers(0, 1 << 63, 10_000, dtype=np.uint64)])
+        assert (fingerprint.modulo(x, p) == x % np.uint64(p)).all()
+
+
+def test_least_values_and_likeness():
+    rng = np.random.default_rng(10)
+    for n, high in [(0, 2), (5, 9), (300, 3), (900, 1 << 30), (5000, 1 << 40), (5000, 60)]:
+        a, b = (rng.integers(0, high, n, dtype=np.uint64) for _ in range(2))
+        one, two = fingerprint.least(a), fingerprint.least(np.concatenate([a[: n // 2], b]))
+        assert one.tolist() == sorted(set(a.tolist()))[: fingerprint.KEPT]
+        assert fingerprint.written(one) == "".join(f"{v:010x}" for v in one.tolist())
+        both = sorted({*one.tolist(), *two.tolist()})[: fingerprint.KEPT]
+        if n:
+            assert fingerprint.likeness(one, two) == sum(v in one and v in two for v in both) / len(both)
+
+
+@pytest.mark.parametrize("together", [1, 40, 1 << 16])
+def test_rows_are_fingerprinted_together_as_alone(monkeypatch, together):
+    monkeypatch.setattr(fingerprint, "TOGETHER", together)
+    rng = np.random.default_rng(12)
+    sizes = [0, 1, 3, 11, 12, 15, 16, 17, 40, 0, 400, 3000, 5, 700, 700]
+    texts = ["".join(rng.choice(list("ab c\u00e9\U0001F600"), n)) for n in sizes] + [LONG[:4000]] * 2 + [None]
+    rows = [(i // 6, False, i, t) for i, t in enumerate(texts)]
+    rows = sorted([*rows, *((b, True, 6 * b + 6, texts[6 * b + 6]) for b in range(2))], key=lambda r: r[:3])
+    schema = pa.schema([("bucket", pa.int32()), ("edge", pa.bool_()), ("doc_id", pa.int64()), ("text", pa.string())])
+    batches = [pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in rows[i : i + 7]], schema) for i in range(0, len(rows), 7)]
+    got = {r["doc_id"]: r for b in fingerprint._compared(iter(batches)) for r in b.to_pylist()}
+    assert sorted(got) == list(range(len(texts) - 1))
+
+    def plain(text):
+        return fingerprint.sketch(fingerprint.span_hashes(fingerprint.points_of(text)))
+
+    for i, (text, after) in enumerate(zip(texts, texts[1:])):
+        after = after or ""
+        edited = text[: len(text) - len(text) // 4] + after[: len(text) // 4]
+        assert got[i]["fingerprint"] == fingerprint.written(plain(text))
+        assert got[i]["edited_fingerprint"] == fingerprint.written(plain(edited))
+        assert got[i]["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+        assert got[i]["near_edited"] == fingerprint.likeness(plain(text), plain(edited))
+        assert got[i]["near_next"] == fingerprint.likeness(plain(text), plain(after))
+        assert got[i]["kept_chars"] == next((k for k, (a, b) in enumerate(zip(text, edited)) if a != b), min(len(text), len(edited)))
+
+
 PAGES = [
     (1, "http://A.b.example.org/es/1?q", "<p>" + "x" * 200), (2, "https://shop.example.com/fr/9", "<p>" + "x" * 200), (3, None, None),
     (4, "no scheme", "short"), (5, "http://c.net?x", "short"), (6, "http://c.com/de/x#f", "<title>shop words</title>" + "y" * 100),
