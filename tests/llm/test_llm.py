@@ -70,6 +70,23 @@ def brute_components(pairs):
     return {i: (len(s), top(i)) for i, s in sets.items()}
 
 
+def test_buckets_of_ngrams_get_their_own_documents_only():
+    rng = np.random.default_rng(13)
+    ids, sizes = np.arange(5, 905, dtype=np.int64) * (1 << 33), np.full(900, 3)
+    owner, grams = np.repeat(np.arange(900), sizes), rng.integers(0, 1 << 63, 2700, dtype=np.uint64) * np.uint64(2)
+    for buckets in (1, 64, 5000):
+        sent = ngram_join._dealt(ids, owner, grams, buckets)
+        # Before, every bucket got the ids of all 900 documents.
+        assert sum(map(len, sent["docs"])) <= 8 * len(grams)
+        got = []
+        for k, docs_, counts, low in zip(sent["bucket"], sent["docs"], sent["spots"], sent["grams"]):
+            own = np.repeat(ngram_join._from_planes(docs_, np.int64), ngram_join._from_planes(counts, np.uint32))
+            got += zip([k] * len(own), own.tolist(), (low[i : i + 6] for i in range(0, len(low), 6)))
+        bucket, _ = ngram_join._key(grams, buckets)
+        assert sorted(got) == sorted((b, ids[o], int(g).to_bytes(8, "little")[:6]) for b, o, g in zip(bucket, owner, grams))
+    assert ngram_join._dealt(ids[:0], owner[:0], grams[:0], 64)["docs"] == []
+
+
 def test_similar_documents(spark):
     near = []
     base = [f"w{i}" for i in range(200)]
