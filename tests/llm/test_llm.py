@@ -229,6 +229,37 @@ def test_packing(spark):
     assert collections.Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == wanted
 
 
+def test_packing_in_rounds_and_to_the_end(spark, monkeypatch):
+    sizes = {i: 1 + (i * i * 37) % 97 for i in range(1500)}
+    items = spark.createDataFrame(list(sizes.items()), "id bigint, size int")
+    starts = []
+    kept = packing.stored
+    monkeypatch.setattr(packing, "stored", lambda df, purpose: starts.append(purpose) or kept(df, purpose))
+    for last, rounds in ((0, None), (700, None), (1500, 0)):
+        monkeypatch.setattr(packing, "LAST", last)
+        starts.clear()
+        rows = packing.best_fit(items, 100).collect()
+        assert sorted(r.id for r in rows) == sorted(sizes)
+        assert rounds is None and "packing" in starts or starts == ["placed"]
+        Row = collections.namedtuple("Row", "sequence_id offset length")
+        least = -(-sum(sizes.values()) // 100)
+        assert least <= check_packing([Row(r.sequence, r.offset, sizes[r.id]) for r in rows], 100) <= 1.05 * least
+
+
+def test_a_text_is_encoded_in_one_call(monkeypatch):
+    import tiktoken
+
+    calls = []
+    for name in ("encode", "encode_ordinary", "encode_to_numpy"):
+        plain = getattr(tiktoken.Encoding, name)
+        monkeypatch.setattr(tiktoken.Encoding, name, lambda *a, f=plain, **k: calls.append(1) or f(*a, **k))
+    packing.part_ids.cache_clear()
+    of = packing.part_ids(packing.vocabulary()).of
+    assert len(of(" ".join(f"w{i:04d}" for i in range(1000)))) >= 4000
+    packing.part_ids.cache_clear()
+    assert len(calls) == 1
+
+
 @pytest.mark.parametrize("sizes", [
     [(i, 1 + (i * i * 37) % 99) for i in range(3000)] + [(5000 + i, 50) for i in range(1000)],
     [(i, 1 + i % 7) for i in range(6000)],
