@@ -107,6 +107,20 @@ def test_similar_documents(spark):
     assert {r.doc_id for r in kept.collect()} == firsts | {i for i, _ in pairs if i is None}
 
 
+def test_sets_are_written_once(spark, monkeypatch):
+    written, kept = [], ngram_join.stored
+    monkeypatch.setattr(ngram_join, "stored", lambda df, purpose: written.append((purpose, df.columns)) or kept(df, purpose))
+    taken, components_of = [], ngram_join.components
+    monkeypatch.setattr(ngram_join, "components", lambda edges: taken.append(1) or components_of(edges))
+    base = [f"w{i}" for i in range(60)]
+    pairs = [(i, " ".join([*base[:i], f"x{i}", *base[i + 1 :]])) for i in range(4)]
+    got = ngram_join.similar_documents(docs(spark, pairs)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(pairs)
+    # Before, all n-grams were written again for every round.
+    assert [purpose for purpose, columns in written if "grams" in columns] == ["sets"]
+    assert len(taken) == 2
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(30)] + [(50, 40), (40, 60), (70, 70), (50, 40)]
     got = components.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()
