@@ -6,6 +6,7 @@ import gzip
 import hashlib
 import os
 import re
+import types
 import zlib
 
 import numpy as np
@@ -767,3 +768,27 @@ def test_pipeline(spark):
     toxic = {r.doc_id for r in spark.read.parquet(f"{TABLES}/labels.parquet").where("toxic = 1").collect()}
     kept = {r.doc_id for r in rows}
     assert len(kept & firsts) >= 0.9 * len(firsts - toxic) and len(kept) <= len(firsts) + len(toxic)
+
+
+def test_kept_rows_go_back_in_small_batches(monkeypatch):
+    class Rows:
+        """What a stage asks of a table, without a session."""
+
+        schema = None
+        sparkSession = sparkContext = property(lambda self: self)
+
+        def broadcast(self, value):
+            return types.SimpleNamespace(value=value)
+
+        def mapInArrow(self, function, schema):
+            return function
+
+    counts = pd.DataFrame({"lang": ["en"], "gram": np.array([1], np.int64), "n": [5]})
+    monkeypatch.setattr(language, "language_models", lambda docs: language.compile_models(counts))
+    monkeypatch.setattr(toxicity, "toxicity_machine", lambda docs, labels: toxicity.Machine(slope=1e-3, shift=-6.0))
+    batch = pa.record_batch({"doc_id": pa.array(range(2300)), "text": pa.array([f"some words {i}" for i in range(2300)])})
+    for kept in (language.accepted(Rows()), toxicity.accepted(Rows(), None)):
+        sent = list(kept(iter([batch])))
+        # Before, a batch of the reading side went back whole.
+        assert max(b.num_rows for b in sent) <= 500
+        assert [i for b in sent for i in b.column("doc_id").to_pylist()] == list(range(2300))
